@@ -62,7 +62,7 @@ def clip(c: Column, low: float | int, high: float | int) -> Column:
 
 def safe_ratio_pct(num: Column, den: Column) -> Column:
     """100*num/den, NULL when the denominator is 0."""
-    return F.lit(100.0) * F.try_divide(num, den)
+    return F.try_divide(F.lit(100.0) * num, den)
 
 
 def rounded(c: Column, digits: int | None) -> Column:

@@ -17,8 +17,8 @@ def _c(c: Column | str) -> Column:
 
 def wape_sql(err: Column | str, real: Column | str) -> Column:
     """Report form: NULL when all actuals are 0."""
-    return F.lit(100.0) * F.try_divide(
-        exact_sum(_c(err)).cast("double"), exact_sum(F.abs(_c(real))).cast("double")
+    return F.try_divide(
+        F.lit(100.0) * exact_sum(_c(err)).cast("double"), exact_sum(F.abs(_c(real))).cast("double")
     )
 
 

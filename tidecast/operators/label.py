@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast import schemas as S
@@ -100,9 +100,6 @@ def split_by_position(labelled: DataFrame, test_share: float, val_share: float)
 
 def hash_split(labelled: DataFrame, test_share: float = 0.2, seed: int = 42) -> DataFrame:
     """Random-like split by key hash: repeatable on any cluster; test also serves early stopping."""
-    bucket = F.pmod(F.xxhash64("cliente_id", "data_referencia", F.lit(seed)), F.lit(10_000))
+    key = F.concat_ws("|", "cliente_id", F.date_format("data_referencia", "yyyy-MM-dd"), F.lit(str(seed)))
+    bucket = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint") % 10_000
     return labelled.withColumn("split", F.when(bucket < int(test_share * 10_000), "test").otherwise("train"))
-
-
-def is_test(c: str = "split") -> Column:
-    return F.col(c) == "test"

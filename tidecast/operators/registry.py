@@ -46,7 +46,7 @@ def evaluate(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _facts(prefix: str = "") -> Column:
+def _facts() -> Column:
     return F.struct(
         *[F.col(c) for c in ["dt_processamento", "run_id", "wape", "r2", "total_linhas"]]
     )
@@ -102,6 +102,24 @@ def replay_champions(runs: DataFrame) -> DataFrame:
     ).select(*S.METRICS.fieldNames())
 
 
+def gate_history(metrics: DataFrame) -> DataFrame:
+    """Each run against the champion that stood before it, with the reason."""
+    before = Window.orderBy("dt_processamento", "run_id").rowsBetween(Window.unboundedPreceding, -1)
+
+    def standing(c: str) -> Column:
+        return F.last(F.when(F.col("is_champion"), F.col(c)), ignorenulls=True).over(before)
+
+    pairs = metrics.select(
+        "run_id",
+        "dt_processamento",
+        "wape",
+        "r2",
+        "total_linhas",
+        *[standing(c).alias(f"champion_{c}") for c in ("wape", "r2", "total_linhas")],
+    )
+    return evaluate(pairs)
+
+
 def champion_history(metrics: DataFrame) -> DataFrame:
     """Promotions with the span in which each one was live."""
     w = Window.orderBy("dt_processamento", "run_id")
