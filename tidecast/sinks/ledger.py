@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast import schemas as S
-from tidecast.session import fresh_path
 from tidecast.sources.tables import read_or_empty
 
 DECIMAL = T.DecimalType(38, 10)
@@ -129,5 +128,3 @@ def should_run(
     )
 
 
-def scratch_ledger(spark: SparkSession, name: str) -> str:
-    return fresh_path(spark, name)
