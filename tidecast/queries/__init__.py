@@ -6,7 +6,7 @@ import importlib
 
 from tidecast.queries.base import REGISTRY, Lab, Query
 
-_MODULES = ["reports", "projections", "joins", "aggregates", "functions"]
+_MODULES = ["reports", "projections", "joins", "aggregates", "functions", "tables"]
 
 for _name in _MODULES:
     importlib.import_module(f"tidecast.queries.{_name}")
