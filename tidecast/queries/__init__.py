@@ -6,7 +6,9 @@ import importlib
 
 from tidecast.queries.base import REGISTRY, Lab, Query
 
-_MODULES = ["reports", "projections", "joins", "aggregates", "functions", "tables"]
+_MODULES = [
+    "reports", "projections", "joins", "aggregates", "functions", "tables", "learning", "checks",
+]
 
 for _name in _MODULES:
     importlib.import_module(f"tidecast.queries.{_name}")
