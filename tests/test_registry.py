@@ -58,7 +58,22 @@ RUNS = [
 
 
 def test_replay_against_brute_force(spark):
-    assert sorted(r[0] for r in RG.champion_runs(log(spark, RUNS)).collect()) == sorted(brute(RUNS))
+    assert [r["run_id"] for r in RG.promotions(log(spark, RUNS))] == brute(RUNS)
+    assert RG.promotions(log(spark, RUNS).where("false")) == []
+
+
+def test_standing_champion(spark):
+    from tidecast import schemas as S
+    from tidecast.sinks.tables import conform
+
+    runs = conform(log(spark, RUNS), S.METRICS).drop(
+        "is_champion", "champion_modelo_versao", "champion_rmse", "champion_wape", "champion_mape"
+    )
+    got = {r["run_id"]: (r["is_champion"], r["champion_wape"]) for r in RG.replay_champions(runs).collect()}
+    won, champ = brute(RUNS), None
+    for rid, wape, _, _ in RUNS:
+        champ = wape if rid in won else champ
+        assert got[rid] == (rid in won, champ)
 
 
 def test_as_of(spark):

@@ -26,8 +26,8 @@ def skewed(n=3000, seed=3):
     return out
 
 
-@pytest.mark.parametrize("width", [3, 5])
-def test_running_sum_on_a_hot_key(spark, width):
+@pytest.mark.parametrize("width, hot", [(3, 0), (5, 500), (4, 10**6)])
+def test_running_sum_on_a_hot_key(spark, width, hot):
     data = skewed()
     df = spark.createDataFrame(data, "acc string, d date, tx string, v double").repartition(9)
     got = running_sum(
@@ -37,6 +37,7 @@ def test_running_sum_on_a_hot_key(spark, width):
         [F.col("tx")],
         F.col("v").cast("decimal(18,2)"),
         "run",
+        hot_rows=hot,
     )
     want = {}
     for acc, grp in itertools.groupby(sorted(data), key=lambda r: r[0]):

@@ -46,35 +46,25 @@ def temporal_split(
     """Adds ``split``: train, val, test, or NULL for rows whose label falls into the test span.
 
     Both cutoffs are interpolated quantiles of the row dates, so all rows of a
-    date stay together. They come from per-date counts and enter the plan as
-    scalar subqueries: no collect, no join. If there are too few rows, or a
-    side stays empty, the split goes by position in date order instead.
+    date stay together. They are found on per-date counts and enter the plan
+    as literals. If there are too few rows, or a side stays empty, the split
+    goes by position in date order instead.
     """
-    days = labelled.select(
-        F.unix_date("data_referencia").alias("d"), F.unix_date(S.NEXT_DATE).alias("nd")
-    )
-    counts = days.groupBy("d", "nd").agg(F.count(F.lit(1)).alias("n"))
-    test_cut = counts.agg(quantile_of_counts("d", 1 - test_share, "n").alias("c"))
-    kept = counts.where((F.col("d") < test_cut.scalar()) & (F.col("nd") < test_cut.scalar()))
-    val_cut = kept.agg(quantile_of_counts("d", 1 - val_share, "n").alias("c"))
-    sizes = kept.select("d", "n", val_cut.scalar().alias("vc")).agg(
-        F.coalesce(F.sum(F.when(F.col("d") < F.col("vc"), F.col("n"))), F.lit(0)).alias("tr"),
-        F.coalesce(F.sum(F.when(F.col("d") >= F.col("vc"), F.col("n"))), F.lit(0)).alias("va"),
-    )
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-    by_date = sizes.select(
-        ((F.col("tr") > 0) & (F.col("va") > 0) & (total.scalar() >= min_rows)).alias("ok")
+    d, nd = F.unix_date("data_referencia"), F.unix_date(S.NEXT_DATE)
+    counts = labelled.groupBy(d.alias("d"), nd.alias("nd")).agg(F.count(F.lit(1)).alias("n"))
+    first = counts.agg(quantile_of_counts("d", 1 - test_share, "n").alias("c"), F.sum("n").alias("n")).first()
+    if (first["n"] or 0) < min_rows:
+        return split_by_position(labelled, test_share, val_share)
+    tc = first["c"]
+    kept = counts.where((F.col("d") < tc) & (F.col("nd") < tc))
+    vc = kept.agg(quantile_of_counts("d", 1 - val_share, "n").alias("c")).first()["c"]
+    if vc is None or kept.where(F.col("d") < vc).isEmpty():
+        return split_by_position(labelled, test_share, val_share)
+    return labelled.withColumn(
+        "split",
+        F.when(d >= tc, "test").when((nd < tc) & (d < vc), "train").when(nd < tc, "val"),
     )
 
-    if by_date.first()["ok"]:
-        d, nd = F.unix_date("data_referencia"), F.unix_date(S.NEXT_DATE)
-        tc, vc = test_cut.scalar(), val_cut.scalar()
-        return labelled.withColumn(
-            "split",
-            F.when(d >= tc, "test").when((nd < tc) & (d < vc), "train").when(nd < tc, "val"),
-        )
-    return split_by_position(labelled, test_share, val_share)
-
 
 def split_by_position(labelled: DataFrame, test_share: float, val_share: float) -> DataFrame:
     """First rows in date and customer order train, the next validate, the last test."""

@@ -15,7 +15,7 @@ from tidecast import schemas as S
 from tidecast.functions import calendar as C
 from tidecast.functions import money as M
 from tidecast.functions import recode as R
-from tidecast.operators.prefix import Level, running_sum
+from tidecast.operators.prefix import HOT_ROWS, Level, running_sum
 from tidecast.sources.bank import Bank
 
 COMPLETED = "completed"
@@ -53,39 +53,43 @@ def signed_transactions(tx: DataFrame, accounts: DataFrame, status: str | None =
 
 
 def running_balance(
-    tx: DataFrame, accounts: DataFrame, status: str | None = COMPLETED, id_prefix: int = 9
+    tx: DataFrame,
+    accounts: DataFrame,
+    status: str | None = COMPLETED,
+    id_prefix: int = 9,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Balance after every transaction, in date and id order.
 
-    Blocks are (account, day, leading characters of the id), so an account that
-    holds a third of all rows spreads over as many tasks as it has blocks.
+    An account too large for one task is cut into blocks of (day, leading
+    characters of the id); all others take the plain window.
     """
-    signed = signed_transactions(tx, accounts, status)
     run = running_sum(
-        signed,
+        keep_status(tx, status).withColumn("signed", M.signed_amount()),
         keys=["account_id"],
         levels=[
             Level("_day", F.col("transaction_date")),
             Level("_idp", F.substring("transaction_id", 1, id_prefix)),
         ],
         order_by=[F.col("transaction_id")],
-        value=M.exact("signed"),
+        value=M.units("signed"),
         out="_mov",
+        per_key=account_owners(accounts),
+        hot_rows=hot_rows,
     )
-    return run.withColumn(
-        "balance", (F.col("_mov") + M.exact("saldo_abertura")).cast("double")
-    ).drop("_mov")
+    balance = F.col("_mov") + M.units("saldo_abertura")
+    return run.withColumn("balance", M.from_units(balance)).drop("_mov")
 
 
 def account_months(tx: DataFrame, accounts: DataFrame, status: str | None = COMPLETED) -> DataFrame:
-    """Last balance, credits, debits and count per account and active month."""
+    """Last balance, credits, debits and count per account and active month, in money units."""
     sums = (
         keep_status(tx, status)
         .groupBy("account_id", C.month_start("transaction_date").alias("period"))
         .agg(
-            M.exact_sum(M.signed_amount()).alias("_mov"),
-            M.exact_sum(M.amount_of_types(M.CREDIT_TYPES)).alias("_cred"),
-            M.exact_sum(M.amount_of_types(M.DEBIT_TYPES)).alias("_deb"),
+            F.sum(M.units(M.signed_amount())).alias("_mov"),
+            F.sum(M.units(M.amount_of_types(M.CREDIT_TYPES))).alias("_cred"),
+            F.sum(M.units(M.amount_of_types(M.DEBIT_TYPES))).alias("_deb"),
             F.count("transaction_id").alias("qtd_transacoes_mes"),
         )
     )
@@ -94,7 +98,7 @@ def account_months(tx: DataFrame, accounts: DataFrame, status: str | None = COMP
         "customer_id",
         "account_id",
         "period",
-        (F.sum("_mov").over(w) + M.exact("saldo_abertura")).alias("_saldo"),
+        (F.sum("_mov").over(w) + M.units("saldo_abertura")).alias("_saldo"),
         "_cred",
         "_deb",
         "qtd_transacoes_mes",
@@ -106,9 +110,9 @@ def account_month_report(tx: DataFrame, accounts: DataFrame, status: str | None
         "customer_id",
         "account_id",
         "period",
-        F.col("_saldo").cast("double").alias("saldo_conta"),
-        F.col("_cred").cast("double").alias("valor_creditos_mes"),
-        F.col("_deb").cast("double").alias("valor_debitos_mes"),
+        M.from_units("_saldo").alias("saldo_conta"),
+        M.from_units("_cred").alias("valor_creditos_mes"),
+        M.from_units("_deb").alias("valor_debitos_mes"),
         "qtd_transacoes_mes",
     )
 
@@ -119,9 +123,9 @@ def customer_months(tx: DataFrame, accounts: DataFrame, status: str | None = COM
         account_months(tx, accounts, status)
         .groupBy("customer_id", "period")
         .agg(
-            F.sum("_saldo").cast("double").alias("saldo_raw"),
-            F.sum("_cred").cast("double").alias("valor_creditos_mes"),
-            F.sum("_deb").cast("double").alias("valor_debitos_mes"),
+            M.from_units(F.sum("_saldo")).alias("saldo_raw"),
+            M.from_units(F.sum("_cred")).alias("valor_creditos_mes"),
+            M.from_units(F.sum("_deb")).alias("valor_debitos_mes"),
             F.sum("qtd_transacoes_mes").alias("qtd_transacoes_mes"),
         )
     )

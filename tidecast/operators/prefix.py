@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidecast.session import materialise
+
 
 @dataclass
 class Level:
@@ -28,6 +30,9 @@ class Level:
         return F.col(self.name).desc() if self.descending else F.col(self.name).asc()
 
 
+HOT_ROWS = 2_000_000
+
+
 def running_sum(
     df: DataFrame,
     keys: Sequence[str],
@@ -35,9 +40,41 @@ def running_sum(
     order_by: Sequence[Column],
     value: Column,
     out: str,
+    per_key: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Inclusive running sum of ``value`` per ``keys`` in the order levels + order_by."""
+    """Inclusive running sum of ``value`` per ``keys`` in the order levels + order_by.
+
+    Rows are counted per key first (combined map-side). Only keys with more
+    than ``hot_rows`` rows are cut into blocks; the others share one plain
+    window. ``per_key`` adds columns by an inner join on the keys; for hot keys
+    it meets the block offsets, not the rows, so the join does not skew either.
+    """
     keys = list(keys)
+    if not keys:
+        return _blocked(df, keys, levels, order_by, value, out, per_key)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = sizes.where(F.col("_n") > hot_rows).select(*keys)
+    if hot.isEmpty():
+        return _plain(df, keys, levels, order_by, value, out, per_key)
+    hot = materialise(hot, "hot-keys")
+    cold = _plain(df.join(hot, keys, "left_anti"), keys, levels, order_by, value, out, per_key)
+    cut = _blocked(df.join(hot, keys, "left_semi"), keys, levels, order_by, value, out, per_key)
+    return cold.unionByName(cut)
+
+
+def _plain(df, keys, levels, order_by, value, out, per_key) -> DataFrame:
+    order = [lv.expr.desc() if lv.descending else lv.expr.asc() for lv in levels]
+    w = (
+        Window.partitionBy(*keys)
+        .orderBy(*order, *order_by)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    run = df.withColumn(out, F.sum(value).over(w))
+    return run if per_key is None else run.join(per_key, keys)
+
+
+def _blocked(df, keys, levels, order_by, value, out, per_key) -> DataFrame:
     names = [lv.name for lv in levels]
     df = df.withColumns({lv.name: lv.expr for lv in levels}).withColumn("_v", value)
 
@@ -60,6 +97,8 @@ def running_sum(
             offsets = level_offset.join(offsets, keys + names[: depth - 1])
     offset = sum((F.col(f"_o{d}") for d in range(2, len(names) + 1)), F.col("_o1"))
     offsets = offsets.select(*keys, *names, offset.alias("_offset"))
+    if per_key is not None:
+        offsets = offsets.join(per_key, keys)
 
     inner = (
         Window.partitionBy(*keys, *names)

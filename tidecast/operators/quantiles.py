@@ -16,7 +16,7 @@ def quantile_of_counts(value: str, prob: float, count: str) -> Column:
 def exact_quantiles(
     df: DataFrame,
     wanted: dict[str, tuple[Column, float]],
-    limit: int = 2_000_000,
+    limit: int = 500_000,
     accuracy: int = 50_000,
 ) -> dict[str, float | None]:
     """``{name: (column, probability)}`` to ``{name: quantile}``.

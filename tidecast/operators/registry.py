@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tidecast import schemas as S
@@ -46,59 +46,57 @@ def evaluate(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _facts() -> Column:
-    return F.struct(
-        *[F.col(c) for c in ["dt_processamento", "run_id", "wape", "r2", "total_linhas"]]
-    )
+LOG_COLUMNS = ["dt_processamento", "run_id", "modelo_versao", "rmse", "wape", "mape", "r2", "total_linhas"]
 
 
-def champion_runs(runs: DataFrame) -> DataFrame:
-    """Keys of the promoted runs.
+def promotions(runs: DataFrame) -> list[Row]:
+    """Promoted runs in time order.
 
-    The gate is stateful, so the run log (one small struct per retraining) is
-    folded in time order. The state holds the current champion and the keys
-    promoted so far; each promotion lowers WAPE by a full point, so that list
-    stays short.
+    The gate is stateful, but a champion only gives way to the first later run
+    that passes against it. Each step asks the stored log for that one row.
+    Every promotion lowers WAPE by a full point, so the steps are few however
+    long the log is.
     """
-    zero = F.expr(
-        "named_struct('wape', CAST(NULL AS DOUBLE), 'r2', CAST(NULL AS DOUBLE), "
-        "'total_linhas', CAST(NULL AS BIGINT), 'keys', CAST(array() AS ARRAY<STRING>))"
-    )
-
-    def step(state: Column, run: Column) -> Column:
-        names = ["wape", "r2", "total_linhas"]
-        new = {n: run.getField(n) for n in names}
-        champ = {n: state.getField(n) for n in names}
-        wins = promoted(gate_reason(new, champ))
-        taken = F.struct(
-            *[new[n].alias(n) for n in names],
-            F.concat(state.getField("keys"), F.array(run.getField("run_id"))).alias("keys"),
-        )
-        return F.when(wins, taken).otherwise(state)
-
-    log = runs.agg(F.array_sort(F.collect_list(_facts())).alias("log"))
-    return log.select(
-        F.explode(F.aggregate("log", zero, step).getField("keys")).alias("run_id")
-    )
+    at = F.struct("dt_processamento", "run_id")
+    names = ["wape", "r2", "total_linhas"]
+    new = {n: F.col(n) for n in names}
+    found: list[Row] = []
+    while True:
+        if found:
+            last = found[-1]
+            champ = {n: F.lit(last[n]).cast(runs.schema[n].dataType) for n in names}
+            after = at > F.struct(F.lit(last["dt_processamento"]), F.lit(last["run_id"]))
+            later = runs.where(after & promoted(gate_reason(new, champ)))
+        else:
+            later = runs
+        step = later.agg(F.min_by(F.struct(*LOG_COLUMNS), at).alias("r")).first()["r"]
+        if step is None:
+            return found
+        found.append(step)
 
 
 def replay_champions(runs: DataFrame) -> DataFrame:
-    """Run history with ``is_champion`` and the champion that stands after each run."""
-    winners = champion_runs(runs).withColumn("_won", F.lit(True))
-    upto = Window.orderBy("dt_processamento", "run_id").rowsBetween(Window.unboundedPreceding, 0)
-    won = F.col("_won").isNotNull()
-    marked = runs.join(winners, "run_id", "left")
-
-    def standing(c: str) -> Column:
-        return F.last(F.when(won, F.col(c)), ignorenulls=True).over(upto)
+    """Run history with ``is_champion`` and the champion that stands after each run.
 
+    Expects a stored run log. The few promotions enter as literals, so each row
+    finds its champion without a join or a window.
+    """
+    won = promotions(runs)
+    key = F.struct("dt_processamento", "run_id")
+    kinds = {c: runs.schema[c].dataType for c in LOG_COLUMNS}
+    steps = [F.struct(*[F.lit(r[c]).cast(kinds[c]).alias(c) for c in LOG_COLUMNS]) for r in won]
+    standing = F.lit(None)
+    for r, step in zip(won, steps):
+        reached = key >= F.struct(F.lit(r["dt_processamento"]), F.lit(r["run_id"]))
+        standing = F.when(reached, step).otherwise(standing)
+    marked = runs.withColumn("_c", standing) if won else runs
     return marked.select(
         *runs.columns,
-        won.alias("is_champion"),
-        standing("modelo_versao").alias("champion_modelo_versao"),
-        standing("rmse").alias("champion_rmse"),
-        standing("wape").alias("champion_wape"),
-        standing("mape").alias("champion_mape"),
+        F.col("run_id").isin([r["run_id"] for r in won]).alias("is_champion"),
+        *[
+            (F.col("_c").getField(c) if won else F.lit(None).cast(kinds[c])).alias(f"champion_{c}")
+            for c in ("modelo_versao", "rmse", "wape", "mape")
+        ],
     ).select(*S.METRICS.fieldNames())
 
 

@@ -16,6 +16,7 @@ from tidecast.functions import calendar as C
 from tidecast.functions import money as M
 from tidecast.operators import metrics as MT
 from tidecast.operators import registry as RG
+from tidecast.session import materialise
 
 W_LAST, W_MEAN = 0.6, 0.4
 FIRST_YEAR, LEGACY_UNTIL = 1995, 1997
@@ -69,5 +70,9 @@ def published_predictions(scored: DataFrame) -> DataFrame:
 
 
 def published_metrics(scored: DataFrame) -> DataFrame:
-    """Metrics table, one row per run, with the champion replayed in run order."""
-    return RG.replay_champions(MT.run_metrics(scored))
+    """Metrics table, one row per run, with the champion replayed in run order.
+
+    The run rows are written first: the replay reads them more than once, and
+    the facts behind them should be aggregated only once.
+    """
+    return RG.replay_champions(materialise(MT.run_metrics(scored), "runs"))

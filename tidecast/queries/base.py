@@ -12,22 +12,45 @@ from pyspark.sql import functions as F
 from tidecast.operators import label as L
 from tidecast.operators import panel as P
 from tidecast.plans import blend as B
-from tidecast.session import use_utc
+from tidecast.session import materialise, use_utc
 from tidecast.sources import warehouse as W
+from tidecast.sources.bank import exists
 
 AS_OF = "2002-01-01"
 NOW = "2024-01-01 09:05:00"
 
 
 class Lab:
-    """Lazily planned frames over one data folder.
-
-    ``*_c`` frames keep completed transactions only; the plain ones take every
-    status, which gives more customers a full history.
+    """Frames over one data folder.
+
+    The bank views, ``panel_plan`` and ``panel_c`` are lazy plans over the raw
+    tables. Panel, labelled rows, predictions and run metrics are tables in the
+    product these queries belong to, so the lab stores each on first use in the
+    shared folder and the queries read it from there. ``*_c`` frames keep completed transactions
+    only; the plain ones take every status, which gives more customers a full
+    history.
     """
 
+    _open: dict[tuple[str, str], Lab] = {}
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = use_utc(spark), root
+        self._stored: list[str] = []
+
+    @classmethod
+    def of(cls, spark: SparkSession, root: str) -> Lab:
+        """The session's lab for a folder, as long as its stored tables are there."""
+        key = (spark.sparkContext.applicationId, root)
+        lab = cls._open.get(key)
+        if lab is None or not all(exists(spark, path) for path in lab._stored):
+            lab = cls._open[key] = cls(spark, root)
+        use_utc(spark)
+        return lab
+
+    def _store(self, df: DataFrame, name: str) -> DataFrame:
+        stored = materialise(df, name)
+        self._stored += [f.rsplit("/", 1)[0] for f in stored.inputFiles()[:1]]
+        return stored
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")
@@ -46,20 +69,24 @@ class Lab:
         return P.monthly_panel(self.bank, AS_OF)
 
     @cached_property
-    def panel(self) -> DataFrame:
+    def panel_plan(self) -> DataFrame:
         return P.monthly_panel(self.bank, AS_OF, status=None)
 
+    @cached_property
+    def panel(self) -> DataFrame:
+        return self._store(self.panel_plan, "panel")
+
     @cached_property
     def labelled_c(self) -> DataFrame:
         return L.training_view(self.panel_c)
 
     @cached_property
     def labelled(self) -> DataFrame:
-        return L.training_view(self.panel)
+        return self._store(L.training_view(self.panel), "labelled")
 
     @cached_property
     def scored(self) -> DataFrame:
-        return B.scored_rows(self.labelled)
+        return self._store(B.scored_rows(self.labelled), "scored")
 
     @cached_property
     def predictions(self) -> DataFrame:
@@ -67,7 +94,7 @@ class Lab:
 
     @cached_property
     def metrics(self) -> DataFrame:
-        return B.published_metrics(self.scored)
+        return self._store(B.published_metrics(self.scored), "metrics")
 
 
 @dataclass

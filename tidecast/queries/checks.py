@@ -12,6 +12,7 @@ from tidecast.queries.joins import month_diffs
 from tidecast.queries.oracle import MEAN6, sql, wape
 from tidecast.queries.reports import pred
 from tidecast.queries.tables import run_phases
+from tidecast.session import materialise
 
 DIFFS = """
   SELECT * FROM (
@@ -37,7 +38,7 @@ FROM (SELECT *, {TEXT} AS t FROM ({DIFFS}) ORDER BY customer_id, period, campo L
 UNION ALL SELECT TRUE, 0, FALSE, ''"""))
 def _(lab: Lab):
     key = ["customer_id", "period"]
-    diffs = month_diffs(lab)
+    diffs = materialise(month_diffs(lab), "diffs")
     none = diffs.where("campo = 'outro'")
     out = RC.summarise(diffs, key).union(RC.summarise(none, key))
     return out.withColumn("diffs", F.array_join("diffs", " ; "))

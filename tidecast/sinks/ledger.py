@@ -92,11 +92,18 @@ def mark_processed(files: DataFrame, path: str, at: Column | None = None) -> Non
     append_rows(files.select("key", "version", at.cast("timestamp").alias("marked_at")), path)
 
 
-def watermark_map(ledger: DataFrame) -> DataFrame:
-    """The ledger as one key-to-version map, for export only."""
-    entries = F.collect_list(F.struct("key", "version"))
-    return latest_versions(ledger).agg(
-        F.map_from_entries(entries).alias("processed_keys"), F.max("marked_at").alias("updated_at")
+def watermark_map(ledger: DataFrame, per_map: int = 10_000) -> DataFrame:
+    """The ledger as key-to-version maps, for export only.
+
+    A short ledger is one map; a long one is cut by key hash into maps of about
+    ``per_map`` entries, so no row grows with the ledger.
+    """
+    latest = latest_versions(ledger)
+    slices = max(1, -(-latest.count() // per_map))
+    cut = F.pmod(F.xxhash64("key"), F.lit(slices)).cast("int")
+    return latest.groupBy(cut.alias("slice")).agg(
+        F.map_from_entries(F.collect_list(F.struct("key", "version"))).alias("processed_keys"),
+        F.max("marked_at").alias("updated_at"),
     )
 
 

@@ -48,7 +48,7 @@ def read_csv_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> D
         raise
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
@@ -56,7 +56,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def load_bank(spark: SparkSession, root: str) -> Bank:
     """Three required sources, two optional ones."""
     required = ["customers.csv", "accounts.csv", "transactions.parquet"]
-    missing = [name for name in required if not _exists(spark, f"{root}/{name}")]
+    missing = [name for name in required if not exists(spark, f"{root}/{name}")]
     if missing:
         raise FileNotFoundError(f"missing below {root}: {missing}")
     tx = spark.read.parquet(f"{root}/transactions.parquet")

@@ -26,12 +26,7 @@ def _id(prefix: str, key: Column) -> Column:
     return F.concat(F.lit(prefix), F.lpad(key.cast("string"), ID_WIDTH, "0"))
 
 
-def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}.parquet")
-
-
-def customers(spark: SparkSession, root: str) -> DataFrame:
-    c = _table(spark, root, "customer")
+def customers(c: DataFrame) -> DataFrame:
     key = F.col("c_custkey")
     market = F.col("c_mktsegment")
     kind = F.lit("other")
@@ -50,8 +45,8 @@ def customers(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def accounts(spark: SparkSession, root: str) -> DataFrame:
-    c = _table(spark, root, "customer").select(
+def accounts(c: DataFrame) -> DataFrame:
+    c = c.select(
         "c_custkey", "c_acctbal", F.explode(F.array(F.lit(0), F.lit(1))).alias("b")
     )
     return c.select(
@@ -64,8 +59,7 @@ def accounts(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def branches(spark: SparkSession, root: str) -> DataFrame:
-    n = _table(spark, root, "nation")
+def branches(n: DataFrame) -> DataFrame:
     return n.select(
         F.col("n_nationkey").cast("string").alias("branch_code"),
         F.when(F.col("n_nationkey") % 3 == 0, "Melbourne")
@@ -75,8 +69,8 @@ def branches(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def loans(spark: SparkSession, root: str) -> DataFrame:
-    o = _table(spark, root, "orders").where(
+def loans(o: DataFrame) -> DataFrame:
+    o = o.where(
         (F.col("o_orderstatus") == "O") & F.col("o_orderpriority").startswith("5")
     )
     return o.select(
@@ -87,8 +81,7 @@ def loans(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def transactions(spark: SparkSession, root: str) -> DataFrame:
-    o = _table(spark, root, "orders")
+def transactions(o: DataFrame) -> DataFrame:
     priority = F.substring("o_orderpriority", 1, 1)
     kind = F.lit("fee")
     for digit, value in TYPE_BY_PRIORITY.items():
@@ -104,10 +97,13 @@ def transactions(spark: SparkSession, root: str) -> DataFrame:
 
 
 def load_bank(spark: SparkSession, root: str) -> Bank:
+    customer, nation, orders = (
+        spark.read.parquet(f"{root}/{name}.parquet") for name in ("customer", "nation", "orders")
+    )
     return Bank(
-        customers=customers(spark, root),
-        accounts=accounts(spark, root),
-        loans=loans(spark, root),
-        branches=branches(spark, root),
-        transactions=transactions(spark, root),
+        customers=customers(customer),
+        accounts=accounts(customer),
+        loans=loans(orders),
+        branches=branches(nation),
+        transactions=transactions(orders),
     )

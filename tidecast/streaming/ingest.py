@@ -21,13 +21,18 @@ def read_panel(spark: SparkSession, path: str) -> DataFrame:
 def merge_into_panel(spark: SparkSession, batch: DataFrame, path: str) -> None:
     """Latest wins on (customer, date).
 
-    Only the months the batch touches are read (the join on the partition
-    columns prunes the rest), staged, and overwritten. A repeated batch gives
-    the same table.
+    Only the months the batch touches are read, staged, and overwritten: the
+    span of the batch prunes partitions, the semi-join leaves out untouched
+    months inside it. A repeated batch gives the same table.
     """
     batch = TB.conform(batch, S.PANEL)
+    month = F.col("ano") * 12 + F.col("mes")
+    span = batch.agg(F.min(month).alias("lo"), F.max(month).alias("hi")).first()
+    if span["lo"] is None:
+        return
     months = batch.select("ano", "mes").distinct()
-    touched = read_panel(spark, path).join(months, ["ano", "mes"], "left_semi")
+    touched = read_panel(spark, path).where(month.between(span["lo"], span["hi"]))
+    touched = touched.join(months, ["ano", "mes"], "left_semi")
     merged = materialise(MG.upsert(touched, batch), "merge")
     TB.write_panel(merged, path)
 
@@ -36,7 +41,8 @@ def ingest_batch(
     spark: SparkSession, batch: DataFrame, path: str, run_id: str, landing: str | None = None
 ) -> DataFrame:
     """Merge, landing copy and the one-row ingest report."""
-    batch = MG.newest_version(batch, MG.PANEL_KEY, F.monotonically_increasing_id())
+    batch = TB.conform(batch, S.PANEL)
+    batch = MG.newest_version(batch, MG.PANEL_KEY, F.struct(*S.PANEL_COLUMNS))
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         before = read_panel(spark, path).count()
@@ -82,16 +88,21 @@ def replay(
         "_changed", F.col("_metadata.file_modification_time")
     )
 
+    done = 0
+
     def take(batch: DataFrame, batch_id: int) -> None:
+        nonlocal done
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            newest = MG.newest_version(batch, MG.PANEL_KEY, F.struct("_changed", "_file"))
+            version = F.struct("_changed", "_file", *S.PANEL_COLUMNS)
+            newest = MG.newest_version(batch, MG.PANEL_KEY, version)
             merge_into_panel(spark, newest, panel)
             if ledger:
                 files = batch.groupBy(F.col("_file").alias("key")).agg(
                     F.max("_changed").cast("string").alias("version")
                 )
                 LG.mark_processed(files, ledger)
+            done += 1
         finally:
             batch.unpersist()
 
@@ -102,4 +113,4 @@ def replay(
         .start()
     )
     query.awaitTermination()
-    return len([p for p in query.recentProgress if p["numInputRows"] > 0])
+    return done
