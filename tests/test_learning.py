@@ -86,3 +86,24 @@ def test_same_data_same_version_and_no_second_promotion(spark, trained):
     assert not second["is_champion"] and second["champion_modelo_versao"] == row["modelo_versao"]
     assert second["champion_mape"] == pytest.approx(row["mape"])
     assert ST.read_metrics(spark, cfg.metrics).count() == 2
+
+
+def test_reports_of_the_stored_tables(spark, trained):
+    cfg, row = trained
+    paths = J.export_reports(spark, cfg)
+    evolution = spark.read.option("header", True).csv(paths[0])
+    assert evolution.columns[:3] == ["dt_processamento", "run_id", "rmse"] and evolution.count() >= 1
+    metrics, predictions = J.published(spark, cfg)
+    from tidecast.plans import reports as R
+
+    best = R.model_benchmark(metrics, predictions).first()
+    assert best["modelo_versao"] == row["modelo_versao"] and best["wape"] == pytest.approx(row["wape"], abs=0.01)
+    months = J.P.months_of(J.IN.read_panel(spark, cfg.panel))
+    assert J.verify(spark, cfg, months, months).where("item = 'geral'").first()["ok"]
+
+
+def test_command_line():
+    from tidecast.cli import arguments
+
+    a = arguments(["retrain", "--root", "x", "--params", '{"n_estimators": "5"}'])
+    assert TR.parameters(a.params)["n_estimators"] == 5 and a.run_id == "manual"

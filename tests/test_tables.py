@@ -30,6 +30,20 @@ def test_shared_folder_comes_from_the_session(spark):
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
 
 
+def test_local_folder_only_in_a_local_session(spark, monkeypatch):
+    from tidecast import session
+
+    monkeypatch.setattr(session, "configured_root", lambda _: None)
+    assert shared_root(spark) == shared_root(spark)
+
+    class Elsewhere:
+        class sparkContext:
+            master, applicationId = "yarn", "x"
+
+    with pytest.raises(RuntimeError):
+        shared_root(Elsewhere)
+
+
 def test_changed_file_is_new(spark):
     ledger = spark.createDataFrame([("a.csv", "old", at("2024-01-01"))], LEDGER)
     listing = spark.createDataFrame([("a.csv", "new"), ("b.csv", "1")], "key string, version string")
@@ -175,6 +189,26 @@ def test_replay_equals_one_shot(spark):
     assert LG.latest_versions(LG.read_ingest_ledger(spark, f"{root}/ledger")).count() == 3
 
 
+def test_ledger_of_stream_and_batch_agree(spark):
+    from tidecast import jobs as J
+
+    cfg = J.Config(root=fresh_path(spark, "job"), run_id="r1")
+    incoming = f"{cfg.root}/in"
+    TB.write_panel(panel_rows(spark, 5, [1, 2]), cfg.panel)
+    TB.write_csv(TB.conform(panel_rows(spark, 5, [3]), S.PANEL), f"{incoming}/m3", single=True)
+    assert J.validate(spark, cfg, incoming).first()["status"] == "validated"
+    assert J.check_new_data(spark, cfg, incoming).first()["incoming_count"] == 1
+    assert J.ingest(spark, cfg, incoming) == 1
+    assert J.check_new_data(spark, cfg, incoming).first()["skip_reason"] == "no_new_data"
+    assert J.ingest_changed(spark, cfg, incoming) is None
+    TB.write_csv(TB.conform(panel_rows(spark, 7, [3], value=9.0), S.PANEL), f"{incoming}/m3", single=True)
+    report = J.ingest_changed(spark, cfg, incoming).first()
+    assert (report["rows_incoming"], report["rows_added"], report["total_rows"]) == (7, 2, 17)
+    assert IN.read_panel(spark, cfg.panel).where("mes = 3").agg(F.min("saldo_m1")).first()[0] == 12.0
+    assert J.finalise(spark, cfg).first()["status"] == "success"
+    assert J.check_new_data(spark, cfg, incoming).first()["has_new_data"] is False
+
+
 def test_merge_rules(spark):
     base, batch = panel_rows(spark, 2, [1]), panel_rows(spark, 3, [1], value=50.0)
     assert MG.append(base, batch).count() == 5

@@ -15,13 +15,15 @@ from tidecast.operators import label as L
 from tidecast.operators import merge as MG
 from tidecast.operators import metrics as MT
 from tidecast.operators import panel as P
+from tidecast.operators import quality as QA
 from tidecast.operators import registry as RG
 from tidecast.operators import train as TR
+from tidecast.plans import reports as R
 from tidecast.session import materialise, use_utc
 from tidecast.sinks import ledger as LG
 from tidecast.sinks import tables as TB
+from tidecast.sources import tables as ST
 from tidecast.sources.bank import Bank
-from tidecast.sources.tables import read_or_empty
 from tidecast.streaming import ingest as IN
 
 CHAMPIONS = S._schema(
@@ -58,6 +60,10 @@ class Config:
     def champions(self) -> str:
         return f"{self.root}/champion/history"
 
+    @property
+    def ledger(self) -> str:
+        return f"{self.root}/ingest/ledger"
+
     @property
     def runs(self) -> str:
         return f"{self.root}/runs"
@@ -71,7 +77,7 @@ def build_panel(spark: SparkSession, bank: Bank, cfg: Config, as_of: str, **opti
 
 
 def champion_table(spark: SparkSession, cfg: Config) -> DataFrame:
-    return read_or_empty(spark, cfg.champions, CHAMPIONS)
+    return ST.read_or_empty(spark, cfg.champions, CHAMPIONS)
 
 
 def current_champion(spark: SparkSession, cfg: Config) -> DataFrame:
@@ -172,6 +178,62 @@ def ingest(spark: SparkSession, cfg: Config, incoming: str, one_by_one: bool = T
         incoming,
         cfg.panel,
         checkpoint=f"{cfg.root}/ingest/checkpoint",
-        ledger=f"{cfg.root}/ingest/ledger",
+        ledger=cfg.ledger,
         files_per_batch=1 if one_by_one else None,
     )
+
+
+def check_new_data(spark: SparkSession, cfg: Config, incoming: str, busy: bool = False) -> DataFrame:
+    """Decision row, also entered in the run ledger."""
+    row = materialise(
+        LG.should_run(ST.list_files(spark, incoming), LG.read_ingest_ledger(spark, cfg.ledger), busy=busy), "check"
+    )
+    status = "new_data" if row.first()["has_new_data"] else "no_new_data"
+    LG.append_run(spark, cfg.runs, cfg.run_id, "check_new_data", status, row)
+    return row
+
+
+def validate(spark: SparkSession, cfg: Config, source: str) -> DataFrame:
+    """Has-input check, also entered in the run ledger."""
+    row = materialise(ST.input_status(spark, source, cfg.run_id), "validate")
+    LG.append_run(spark, cfg.runs, cfg.run_id, "validate", row.first()["status"], row)
+    return row
+
+
+def finalise(spark: SparkSession, cfg: Config) -> DataFrame:
+    """Outcome of the run from its ledger phases; success only after a passed validation."""
+    phases = LG.read_run_ledger(spark, cfg.runs).where(F.col("run_id") == cfg.run_id)
+    row = materialise(QA.finalise(phases), "finalise")
+    LG.append_run(spark, cfg.runs, cfg.run_id, "finalize", row.first()["status"], row)
+    return row
+
+
+def ingest_changed(spark: SparkSession, cfg: Config, incoming: str) -> DataFrame | None:
+    """New and rewritten files in one batch, with a landing copy."""
+    use_utc(spark)
+    return IN.ingest_new_files(spark, incoming, cfg.panel, cfg.ledger, cfg.run_id, f"{cfg.root}/landing")
+
+
+def published(spark: SparkSession, cfg: Config) -> tuple[DataFrame, DataFrame]:
+    """Metrics and unified predictions of all runs."""
+    return ST.read_metrics(spark, cfg.metrics), R.unified(ST.read_predictions(spark, cfg.predictions))
+
+
+def export_reports(spark: SparkSession, cfg: Config) -> list[str]:
+    """The three CSV reports; each is small."""
+    metrics, predictions = published(spark, cfg)
+    frames = {
+        "evolucao_metricas": R.metric_evolution(metrics),
+        "gabarito_por_mes": R.truth_by_month(predictions),
+        "gabarito_detalhe_amostra": R.detail_sample(predictions),
+    }
+    for name, df in frames.items():
+        TB.write_csv(df, f"{cfg.root}/reports/{name}", single=True)
+    return [f"{cfg.root}/reports/{name}" for name in frames]
+
+
+def verify(spark: SparkSession, cfg: Config, expected: DataFrame, sent: DataFrame) -> DataFrame:
+    """Checklist over the stored tables; months come as ``mes_ref``."""
+    metrics, predictions = published(spark, cfg)
+    parts = predictions.select(*S.PREDICTION_PARTITIONS).distinct()
+    return QA.processing_checklist(expected, sent, P.months_of(IN.read_panel(spark, cfg.panel)), metrics, parts)

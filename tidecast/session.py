@@ -33,20 +33,28 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_local_roots: dict[str, str] = {}
+
+
+def configured_root(spark: SparkSession) -> str | None:
+    return spark.conf.get(CHECKPOINT_KEY, None) or None
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors can reach: the cluster's checkpoint folder.
 
     A machine-local folder is used only when the whole session runs on this
     machine and names no folder itself.
     """
-    root = spark.conf.get(CHECKPOINT_KEY, None)
+    root = configured_root(spark)
     if root:
         return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        root = tempfile.mkdtemp(prefix="run-tidecast-")
-        spark.conf.set(CHECKPOINT_KEY, root)
-        return root
-    raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder all executors share")
+    sc = spark.sparkContext
+    if not sc.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder all executors share")
+    if sc.applicationId not in _local_roots:
+        _local_roots[sc.applicationId] = tempfile.mkdtemp(prefix="run-tidecast-")
+    return _local_roots[sc.applicationId]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -75,26 +75,27 @@ def read_incoming(
     return out
 
 
-def list_files(spark: SparkSession, root: str, suffix: str = ".csv") -> DataFrame:
-    """``key, version, modified`` of the files below a folder.
+def file_key(path: Column) -> Column:
+    """One spelling per file, whichever reader reports it."""
+    return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
 
-    Only file metadata is read. Length and modification time make the version,
-    so a rewritten file counts as new.
-    """
-    schema = T.StructType(
-        [T.StructField("key", T.StringType()), T.StructField("version", T.StringType()),
-         T.StructField("modified", T.TimestampType())]
-    )
+
+def file_version(length: Column, modified: Column) -> Column:
+    """A rewritten file gets a new version."""
+    return F.concat_ws("-", length.cast("string"), F.unix_micros(modified).cast("string"))
+
+
+def list_files(spark: SparkSession, root: str, suffix: str = ".csv") -> DataFrame:
+    """``key, version, modified`` of the files below a folder; only metadata is read."""
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     except AnalysisException as exc:
         if path_missing(exc):
-            return spark.createDataFrame([], schema)
+            return spark.createDataFrame([], S._schema("key string, version string, modified timestamp"))
         raise
-    stamp = F.unix_micros("modificationTime").cast("string")
     return files.where(F.lower("path").endswith(suffix)).select(
-        F.col("path").alias("key"),
-        F.concat_ws("-", F.col("length").cast("string"), stamp).alias("version"),
+        file_key(F.col("path")).alias("key"),
+        file_version(F.col("length"), F.col("modificationTime")).alias("version"),
         F.col("modificationTime").alias("modified"),
     )
 
@@ -117,7 +118,3 @@ def create_external(
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     by = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet {by} LOCATION '{path}'")
-
-
-def text_key(c: Column | str) -> Column:
-    return F.element_at(F.split(c if isinstance(c, Column) else F.col(c), "/"), -1)

@@ -11,11 +11,11 @@ from tidecast.operators import merge as MG
 from tidecast.session import materialise
 from tidecast.sinks import ledger as LG
 from tidecast.sinks import tables as TB
-from tidecast.sources.tables import read_or_empty
+from tidecast.sources import tables as ST
 
 
 def read_panel(spark: SparkSession, path: str) -> DataFrame:
-    return read_or_empty(spark, path, S.PANEL)
+    return ST.read_or_empty(spark, path, S.PANEL)
 
 
 def merge_into_panel(spark: SparkSession, batch: DataFrame, path: str) -> None:
@@ -64,6 +64,25 @@ def ingest_batch(
     )
 
 
+def ingest_new_files(
+    spark: SparkSession, incoming: str, panel: str, ledger: str, run_id: str, landing: str | None = None
+) -> DataFrame | None:
+    """Batch form: files the ledger lacks or knows in another version.
+
+    Unlike a stream checkpoint this also takes rewritten files. Returns the
+    ingest report, or nothing when there is no new file.
+    """
+    new = ST.list_files(spark, incoming)
+    new = materialise(LG.unprocessed(new, LG.read_ingest_ledger(spark, ledger)), "new-files")
+    keys = [r["key"] for r in new.select("key").orderBy("key").collect()]
+    batch = ST.read_incoming(spark, keys, S.PANEL)
+    if batch is None:
+        return None
+    report = ingest_batch(spark, batch, panel, run_id, landing)
+    LG.mark_processed(new, ledger)
+    return report
+
+
 def replay(
     spark: SparkSession,
     incoming: str,
@@ -84,8 +103,13 @@ def replay(
         reader = reader.option("header", True)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    rows = reader.load(incoming).withColumn("_file", F.col("_metadata.file_path")).withColumn(
-        "_changed", F.col("_metadata.file_modification_time")
+    meta = F.col("_metadata")
+    rows = reader.load(incoming).withColumns(
+        {
+            "_file": ST.file_key(meta["file_path"]),
+            "_changed": meta["file_modification_time"],
+            "_version": ST.file_version(meta["file_size"], meta["file_modification_time"]),
+        }
     )
 
     done = 0
@@ -98,9 +122,7 @@ def replay(
             newest = MG.newest_version(batch, MG.PANEL_KEY, version)
             merge_into_panel(spark, newest, panel)
             if ledger:
-                files = batch.groupBy(F.col("_file").alias("key")).agg(
-                    F.max("_changed").cast("string").alias("version")
-                )
+                files = batch.groupBy(F.col("_file").alias("key")).agg(F.max("_version").alias("version"))
                 LG.mark_processed(files, ledger)
             done += 1
         finally:
