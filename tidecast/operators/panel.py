@@ -94,11 +94,13 @@ def account_months(tx: DataFrame, accounts: DataFrame, status: str | None = COMP
         )
     )
     w = Window.partitionBy("account_id").orderBy("period").rowsBetween(Window.unboundedPreceding, 0)
-    return sums.join(account_owners(accounts), "account_id").select(
+    # the window comes first: its sort on (account, period) also serves the join
+    run = sums.withColumn("_run", F.sum("_mov").over(w)).drop("_mov")
+    return run.join(account_owners(accounts), "account_id").select(
         "customer_id",
         "account_id",
         "period",
-        (F.sum("_mov").over(w) + M.units("saldo_abertura")).alias("_saldo"),
+        (F.col("_run") + M.units("saldo_abertura")).alias("_saldo"),
         "_cred",
         "_deb",
         "qtd_transacoes_mes",
