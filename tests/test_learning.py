@@ -46,6 +46,13 @@ def test_null_fill_and_unseen_label(lab, spark):
     assert FT.FeatureParams.from_json(p.to_json()) == p
 
 
+def test_rows_without_profile_still_score(lab):
+    rows = lab.labelled.withColumn("uf", F.when(F.col("mes") != 3, F.col("uf"))).withColumn("idade", F.lit(None).cast("int"))
+    p = FT.fit(rows)
+    assert p.labels["uf"][-1] == "nan"
+    assert TR.assemble(FT.transform(rows, p)).where("features IS NULL").isEmpty()
+
+
 def test_scaling_is_population(lab):
     out = FT.transform(lab.labelled, FT.fit(lab.labelled), training=True)
     m, s, n = out.agg(F.avg("x_saldo_m2"), F.stddev_pop("x_saldo_m2"), F.count("*")).first()

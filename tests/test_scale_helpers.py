@@ -66,6 +66,36 @@ def test_keep_newest_cuts_inside_a_date(spark):
     assert MG.keep_newest(df, 10_000).count() == 300
 
 
+def test_hot_accounts_take_blocks_and_agree(lab):
+    b = lab.bank
+    plain = P.running_balance(b.transactions, b.accounts)
+    cut = P.running_balance(b.transactions, b.accounts, hot_rows=5, id_prefix=11)
+    cols = ["transaction_id", "customer_id", "balance"]
+    want = sorted(map(tuple, plain.select(*cols).collect()))
+    assert sorted(map(tuple, cut.select(*cols).collect())) == want and len(want) > 500
+
+
+def test_panel_of_a_hot_account(spark):
+    """Thousands of movements on one account still reduce to its months."""
+    import datetime as d
+
+    from bankdata import bank, frame, transactions
+
+    from tidecast import schemas as S
+
+    b = bank(spark)
+    base = transactions()
+    extra = [
+        {**base[0], "transaction_id": f"H{i:06d}", "amount": 1.0, "transaction_date": d.date(2015, 1 + i % 8, 1 + i % 28)}
+        for i in range(4000)
+    ]
+    b.transactions = b.transactions.unionByName(frame(spark, S.TRANSACTIONS, extra)).repartition(5)
+    got = P.monthly_panel(b, "2016-01-01", min_months=1).where("cliente_id = 'CUST000001'")
+    by_month = {m: sum(1.0 for i in range(4000) if 1 + i % 8 <= m) for m in range(1, 9)}
+    want = {6: 350 + by_month[6], 7: 750 + by_month[7], 8: 300 + by_month[8]}
+    assert {r["mes"]: r["saldo_m1"] for r in got.collect()} == want
+
+
 def values(kind):
     rnd = np.random.default_rng(5)
     if kind == "smooth":

@@ -83,16 +83,21 @@ def trim_upper(df: DataFrame, cut: float, column: str = "saldo_m1") -> DataFrame
     return df.where(F.col(column) <= cut)
 
 
+def _text(column: str) -> Column:
+    """Category as text; a missing one is a category of its own."""
+    return F.coalesce(F.col(column).cast("string"), F.lit("nan"))
+
+
 def label_values(df: DataFrame, columns: list[str] = CATEGORICAL) -> dict[str, list[str]]:
     """Sorted values of each categorical column; their domains are code tables."""
-    row = df.agg(*[F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(c) for c in columns]).first()
+    row = df.agg(*[F.array_sort(F.collect_set(_text(c))).alias(c) for c in columns]).first()
     return {c: list(row[c]) for c in columns}
 
 
 def label_code(column: str, values: list[str]) -> Column:
     """Position in the sorted values; a value not seen in the fit is an error."""
-    position = F.array_position(F.array(*[F.lit(v) for v in values]), F.col(column).cast("string"))
-    unseen = F.raise_error(F.concat(F.lit(f"unseen value in {column}: "), F.col(column)))
+    position = F.array_position(F.array(*[F.lit(v) for v in values]), _text(column))
+    unseen = F.raise_error(F.concat(F.lit(f"unseen value in {column}: "), _text(column)))
     return F.when(position > 0, (position - 1).cast("int")).otherwise(unseen.cast("int"))
 
 

@@ -115,11 +115,15 @@ def drop_alerts(
 
 
 def segment_cutoffs(predictions: DataFrame, prob: float = 0.8) -> dict[str, float | None]:
-    """Exact quantile of the forecast per segment, one scalar each."""
-    return exact_quantiles(
-        predictions,
-        {s: (F.when(F.col("segmento") == s, F.col("saldo_predito")), prob) for s in S.SEGMENTS},
-    )
+    """Exact quantile of the forecast per segment, one scalar each; segments are a short code table."""
+    names = [r["segmento"] for r in predictions.select("segmento").distinct().collect()]
+    wanted = {
+        f"s{i}": (F.when(F.col("segmento") == s, F.col("saldo_predito")), prob)
+        for i, s in enumerate(names)
+        if s is not None
+    }
+    cuts = exact_quantiles(predictions, wanted) if wanted else {}
+    return {names[int(k[1:])]: q for k, q in cuts.items()}
 
 
 def above_segment_quantile(predictions: DataFrame, prob: float = 0.8) -> DataFrame:

@@ -73,7 +73,9 @@ def best_round(losses: list[float], patience: int) -> int:
 
 
 def assemble(prepared: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=FT.feature_columns(), outputCol="features").transform(prepared)
+    """Feature vector; what is still missing counts as 0, which is the mean of a scaled column."""
+    filled = prepared.fillna(0, subset=FT.feature_columns())
+    return VectorAssembler(inputCols=FT.feature_columns(), outputCol="features").transform(filled)
 
 
 def train(rows: DataFrame, validation: DataFrame, given: Mapping[str, Any] | str | None = None) -> GBTRegressionModel:
@@ -137,15 +139,12 @@ def model_version(metrics: Mapping[str, Column] | None = None, prefix: str = VER
 
 
 def train_per_segment(
-    rows: DataFrame, validation: DataFrame, given: Mapping[str, Any] | str | None = None, segments=S.SEGMENTS
+    rows: DataFrame, validation: DataFrame, given: Mapping[str, Any] | str | None = None
 ) -> dict[str, GBTRegressionModel]:
     """One model per segment; segments are few, each fit is a distributed job."""
-    models = {}
-    for s in segments:
-        part = rows.where(F.col("segmento") == s)
-        if not part.isEmpty():
-            models[s] = train(part, validation.where(F.col("segmento") == s), given)
-    return models
+    segments = sorted(r[0] for r in rows.select("segmento").distinct().collect())
+    own = F.col("segmento")
+    return {s: train(rows.where(own == s), validation.where(own == s), given) for s in segments}
 
 
 def score_per_segment(models: dict[str, GBTRegressionModel], prepared: DataFrame) -> DataFrame:
