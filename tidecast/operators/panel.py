@@ -156,8 +156,9 @@ def with_history(panel: DataFrame, key: str = "customer_id", min_months: int = M
 
 
 def income_estimate(median_credits: Column) -> Column:
+    """Clipped multiple of the median credits, in cents; a half cent goes to the even one."""
     base = F.coalesce(median_credits, F.lit(INCOME_DEFAULT).cast("double"))
-    return F.round(M.clip(base * INCOME_FACTOR, *map(float, INCOME_RANGE)), 2)
+    return F.rint(M.clip(base * INCOME_FACTOR, *map(float, INCOME_RANGE)) * 100) / 100
 
 
 def first_customers(bank: Bank, n: int) -> Bank:

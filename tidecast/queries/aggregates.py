@@ -438,10 +438,11 @@ def _(lab: Lab):
 
 @query("SET-3", """
 SELECT strftime(o_orderdate, '%Y-%m') AS mes_ref FROM orders
-EXCEPT SELECT strftime(o_orderdate, '%Y-%m') FROM orders WHERE o_totalprice > 495000""")
+EXCEPT SELECT strftime(o_orderdate, '%Y-%m') FROM orders WHERE year(o_orderdate) % 2 = 0""")
 def _(lab: Lab):
-    months = lab.table("orders").select(C.month_key("o_orderdate").alias("mes_ref"), "o_totalprice")
-    busy = months.where("o_totalprice > 495000").select("mes_ref").distinct()
-    return months.select("mes_ref").distinct().exceptAll(busy)
+    orders = lab.table("orders")
+    months = orders.select(C.month_key("o_orderdate").alias("mes_ref"))
+    even = orders.where(F.year("o_orderdate") % 2 == 0).select(C.month_key("o_orderdate").alias("mes_ref"))
+    return months.distinct().exceptAll(even.distinct())
 
 

@@ -132,7 +132,7 @@ for sfx, cond in (("", "TRUE"), ("_c", "status = 'completed'")):
   FROM lagm{sfx} WHERE saldo_m6 IS NOT NULL"""
     CTES[f"panel{sfx}"] = f"""
   SELECT p.cliente_id, p.idade,
-         round(least(greatest(h.med_cred * 1.25::DOUBLE, 1000), 50000), 2) AS renda_mensal,
+         round_even(least(greatest(h.med_cred * 1.25::DOUBLE, 1000), 50000) * 100, 0) / 100 AS renda_mensal,
          p.segmento, p.tempo_relacionamento, p.uf, p.genero, p.possui_investimento,
          p.possui_credito, p.possui_seguro, p.score_credito,
          last_day(h.period) AS data_referencia, {LAGS},

@@ -108,7 +108,7 @@ def _(lab: Lab):
 
 @query("PRJ-10", sql("""
 SELECT c.customer_id,
-       round(least(greatest(coalesce(max(h.med_cred), 3000) * 1.25::DOUBLE, 1000), 50000), 2)
+       round_even(least(greatest(coalesce(max(h.med_cred), 3000) * 1.25::DOUBLE, 1000), 50000) * 100, 0) / 100
          AS renda_mensal
 FROM bank_cust c LEFT JOIN hist h USING (customer_id) GROUP BY 1"""))
 def _(lab: Lab):

@@ -188,7 +188,7 @@ FROM pred WHERE {SINCE} GROUP BY 1"""))(
 def _t(c: str, scale: int = 4) -> str:
     # decimal ties go away from zero on Spark; the nudge keeps binary doubles from falling short
     return (
-        f"CAST(CAST(round({c} + sign({c}) * 1e-9, {scale}) AS DECIMAL(24,{scale})) AS VARCHAR)"
+        f"CAST(CAST(round({c} * (1 + 1e-15::DOUBLE), {scale}) AS DECIMAL(24,{scale})) AS VARCHAR)"
     )
 
 
