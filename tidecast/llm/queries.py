@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import mixing, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_mixing": mixing.op4_mixing,
     "op6_simhash": simhash.op6_simhash,
+    "op10_secrets": secrets.op10_secrets,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op4_mixing": mixing.SQL, "op10_secrets": secrets.SQL}
