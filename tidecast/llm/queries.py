@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, secrets, simhash
+from . import mixing, secrets, simhash, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": url_filter.op1_url_filter,
     "op4_mixing": mixing.op4_mixing,
     "op6_simhash": simhash.op6_simhash,
     "op10_secrets": secrets.op10_secrets,
 }
-SQL: dict[str, str] = {"op4_mixing": mixing.SQL, "op10_secrets": secrets.SQL}
+SQL: dict[str, str] = {"op1_url_filter": url_filter.SQL, "op4_mixing": mixing.SQL, "op10_secrets": secrets.SQL}
