@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,11 +62,21 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def words_of(column: pa.Array, lower: bool = True) -> Words:
+def pieces(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """A text column in runs of bounded text, so that memory does not follow the batch size."""
+    size = np.cumsum([0, *(n or 0 for n in pa.compute.binary_length(column).to_pylist())])
+    at = 0
+    while at < len(column):
+        to = max(at + 1, int(np.searchsorted(size, size[at] + limit, side="right")) - 1)
+        yield column.slice(at, to - at)
+        at = to
+
+
+def words_of(column: pa.Array, separator: np.ndarray = SEPARATOR) -> Words:
+    """Words of a text column, A-Z lower-cased."""
     data, offsets = text_bytes(column)
-    if lower:
-        data = LOWER[data]
-    inside = ~SEPARATOR[data]
+    data = LOWER[data]
+    inside = ~separator[data]
     cut = np.zeros(len(data) + 1, bool)  # a text begins here
     cut[offsets] = True
     begins, ends = inside.copy(), inside.copy()
@@ -79,14 +90,10 @@ def words_of(column: pa.Array, lower: bool = True) -> Words:
 def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in pieces of bounded text, so that memory does not follow the batch size."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        size = np.cumsum([0, *(n or 0 for n in pa.compute.binary_length(batch.column(text)).to_pylist())])
         at = 0
-        while at < batch.num_rows:
-            to = max(at + 1, int(np.searchsorted(size, size[at] + limit, side="right")) - 1)
-            yield batch.slice(at, to - at)
-            at = to
+        for piece in pieces(batch.column(text), limit):
+            yield batch.slice(at, len(piece))
+            at += len(piece)
 
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)

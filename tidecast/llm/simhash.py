@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidecast.session import materialise
 
-from .common import LOWER, SEPARATOR, SLICE_BYTES, Words, row_hash, shingle_hashes, table, text_bytes, word_hashes, words_of
+from .common import SEPARATOR, Words, pieces, table, words_of
 from .graph import comparisons, components, forest, per_group
 
 WORDS, RADIUS, SEED = 4, 4, 42
@@ -46,12 +46,7 @@ def fingerprint(text: Column, k: int = WORDS) -> Column:
 
     @F.arrow_udf("long")
     def of(texts: pa.Array) -> pa.Array:
-        size = np.cumsum([0, *(n or 0 for n in pa.compute.binary_length(texts).to_pylist())])
-        out, at = [], 0
-        while at < len(texts):
-            to = max(at + 1, int(np.searchsorted(size, size[at] + SLICE_BYTES, side="right")) - 1)
-            out.append(fingerprints(words_of(texts.slice(at, to - at)), k).view(np.int64))
-            at = to
+        out = [fingerprints(words_of(p), k).view(np.int64) for p in pieces(texts)]
         return pa.array(np.concatenate(out) if out else np.zeros(0, np.int64))
 
     return of(text)

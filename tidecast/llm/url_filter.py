@@ -154,12 +154,14 @@ def judge(rows: DataFrame, key: str, cascade: DataFrame, shards: int, out: str =
     edges = [-1, *[p[0] for p in passes[1:]], shards]
     spark, done = rows.sparkSession, []
     for low, high in zip(edges, edges[1:]):
-        sent = spark.sparkContext.broadcast(Cascade(cascade.where(F.col("shard").between(max(low, 0), high - 1)).collect()))
+        rows_of_pass = cascade.where(F.col("shard").between(max(low, 0), high - 1)).collect()
+        sent = spark.sparkContext.broadcast([r.asDict() for r in rows_of_pass])
 
         @F.arrow_udf("boolean")
         def listed(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+            filters = Cascade(sent.value)
             for s, a, b in batches:
-                yield pa.array(sent.value.holds(s.to_numpy(), a.to_numpy().view(np.uint64), b.to_numpy().view(np.uint64)))
+                yield pa.array(filters.holds(s.to_numpy(), a.to_numpy().view(np.uint64), b.to_numpy().view(np.uint64)))
 
         part = rows if len(passes) == 1 else rows.where(shard.between(low, high - 1))
         judged = part.withColumn(out, listed(shard, *key_hashes(F.col(key))) & F.col(key).isNotNull())
