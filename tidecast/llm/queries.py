@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, secrets, simhash, toxicity, url_filter, warc
+from . import itq, mixing, secrets, simhash, toxicity, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": mixing.op4_mixing,
     "op6_simhash": simhash.op6_simhash,
     "op7_toxicity": toxicity.op7_toxicity,
+    "op9_itq": itq.op9_itq,
     "op10_secrets": secrets.op10_secrets,
 }
 SQL: dict[str, str] = {"op1_url_filter": url_filter.SQL, "op2_warc": warc.SQL, "op4_mixing": mixing.SQL, "op10_secrets": secrets.SQL}
