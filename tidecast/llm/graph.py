@@ -61,8 +61,8 @@ def comparisons(rows: DataFrame, key: list[str], item: str, chunk: int = CHUNK)
     return out.repartition(*key, "part_a", "part_b").sortWithinPartitions(*key, "part_a", "part_b", item)
 
 
-def per_group(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], keys: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """For mapInArrow over rows sorted by `keys`: `fn` sees the rows of one group at a time."""
+def per_group(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], keys: list[str], least: int = 2) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For mapInArrow over rows sorted by `keys`: `fn` sees the rows of one group of `least` rows or more at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -76,11 +76,11 @@ def per_group(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], keys: list[
                 v = batch.column(k).to_numpy(zero_copy_only=False)
                 cut[1:] |= v[1:] != v[:-1]
             at = np.flatnonzero(cut).tolist()
-            out = [r for a, b in zip([0, *at], at) if b - a > 1 and (r := fn(batch.slice(a, b - a))) is not None]
+            out = [r for a, b in zip([0, *at], at) if b - a >= least and (r := fn(batch.slice(a, b - a))) is not None]
             if out:
                 yield from pa.Table.from_batches(out).combine_chunks().to_batches()
             held = [batch.slice(at[-1] if at else 0)]
-        if held and held[0].num_rows > 1 and (r := fn(held[0])) is not None:
+        if held and held[0].num_rows >= least and (r := fn(held[0])) is not None:
             yield r
 
     return run

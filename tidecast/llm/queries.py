@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import itq, mixing, secrets, simhash, toxicity, url_filter, warc
+from . import chaining, decontaminate, itq, mixing, secrets, simhash, toxicity, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": url_filter.op1_url_filter,
     "op2_warc": warc.op2_warc,
+    "op3_chaining": chaining.op3_chaining,
     "op4_mixing": mixing.op4_mixing,
+    "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_simhash": simhash.op6_simhash,
     "op7_toxicity": toxicity.op7_toxicity,
     "op9_itq": itq.op9_itq,
