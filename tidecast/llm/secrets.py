@@ -58,20 +58,20 @@ def _spans(text: Column, hits: Column, rule: Rule) -> Column:
     return F.aggregate(pairs, begin, step, lambda seen: seen["spans"])
 
 
-def scan(versions: DataFrame, ledger: str, path: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """One row per version of a path: path, blob, and findings (kind, start, end) in order of start and rule.
+def _addressed(versions: DataFrame, path: str, text: str) -> DataFrame:
+    whole = versions.select(versions[path].alias("path"), F.coalesce(versions[text], F.lit("")).alias("text"))
+    return whole.withColumn("blob", _address(F.col("text")))
 
-    A text's address is its SHA-256 (a null text is an empty one). The ledger, a Parquet folder that is
-    made on first use, has a row for every scanned pair of blob and rule version, with the spans found
-    (code points, end exclusive). Only pairs that it lacks are scanned, each blob once, whatever the
-    number of paths with that text; the findings then go to every path. So a repeated row, a null path
-    and an old version each get their own row, and a second run over the same texts scans nothing.
-    Only the two named columns are read. No rows give no rows.
-    """
+
+def _address(text: Column) -> Column:
+    return F.unhex(F.sha2(F.encode(text, "UTF-8"), 256))
+
+
+def update(versions: DataFrame, ledger: str, path: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Scan what the ledger lacks of these versions, append it, and return the versions' (path, blob)."""
     spark = versions.sparkSession
     spark.createDataFrame([], LEDGER).write.mode("ignore").parquet(ledger)
-    whole = versions.select(F.col(path).alias("path"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    whole = whole.withColumn("blob", F.unhex(F.sha2(F.encode("text", "UTF-8"), 256)))
+    whole = _addressed(versions, path, text)
     paths = materialise(whole.select("path", "blob"), "paths")
     names = F.array(*[F.lit(r.name) for r in rules])
     seen = spark.read.schema(LEDGER).parquet(ledger).groupBy("blob").agg(F.collect_set(F.when(F.array_contains(names, F.col("rule")), F.col("rule"))).alias("seen"))
@@ -87,16 +87,49 @@ def scan(versions: DataFrame, ledger: str, path: str = "doc_id", text: str = "te
     entries = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.coalesce(s, none).alias("spans")) for r, s in zip(rules, found)])
     scanned = matched.select("blob", F.inline(F.filter(entries, lambda e: F.array_contains(F.col("todo"), e["rule"]))))
     scanned.write.mode("append").parquet(ledger)
+    return paths
 
+
+def found_in(spark: SparkSession, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(found_blob, findings) of every blob with findings by these rule versions, in order of start and rule."""
     order = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.name), F.lit(i))])
     entry = spark.read.schema(LEDGER).parquet(ledger).where(F.col("rule").isin([r.name for r in rules]) & (F.size("spans") > 0))
     spans = entry.select("blob", "rule", F.explode("spans").alias("s")).select("blob", "s.start", order["rule"].alias("rank"), "s.end", F.split_part("rule", F.lit("/"), F.lit(1)).alias("kind"))
     by_blob = spans.distinct().groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "rank", "end", "kind"))).alias("found"))
-    by_blob = materialise(by_blob.select(F.col("blob").alias("found_blob"), F.transform("found", lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))).alias("findings")), "found")
+    return materialise(by_blob.select(F.col("blob").alias("found_blob"), F.transform("found", lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))).alias("findings")), "found")
+
+
+def scan(versions: DataFrame, ledger: str, path: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """One row per version of a path: path, blob, and findings (kind, start, end) in order of start and rule.
+
+    A text's address is its SHA-256 (a null text is an empty one). The ledger, a Parquet folder that is
+    made on first use, has a row for every scanned pair of blob and rule version, with the spans found
+    (code points, end exclusive). Only pairs that it lacks are scanned, each blob once, whatever the
+    number of paths with that text; the findings then go to every path. So a repeated row, a null path
+    and an old version each get their own row, and a second run over the same texts scans nothing.
+    Only the two named columns are read. No rows give no rows.
+    """
+    paths = update(versions, ledger, path, text, rules)
+    by_blob = found_in(versions.sparkSession, ledger, rules)
     empty = F.array().cast("array<struct<kind:string,start:int,end:int>>")
     return paths.join(by_blob, paths["blob"] == by_blob["found_blob"], "left").select("path", "blob", F.coalesce("findings", empty).alias("findings"))
 
 
+def redact(docs: DataFrame, ledger: str, path: str = "doc_id", text: str = "text", length: str = "n_chars", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """`docs` with every secret masked in the text, and the text's length set anew where it changed.
+
+    All rows stay, with their columns; a text without findings, or null, stays as it is.
+    """
+    update(docs, ledger, path, text, rules)
+    item = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("item"), _address(F.coalesce(docs[text], F.lit(""))).alias("blob"))
+    found = found_in(docs.sparkSession, ledger, rules)
+    met = item.join(found, item["blob"] == found["found_blob"], "left")
+    new = F.when(F.col("findings").isNotNull(), redacted(F.col(f"item.{text}"), F.col("findings"))).otherwise(F.col(f"item.{text}"))
+    met = met.withColumn("new_text", new)
+    own = {text: F.col("new_text"), length: F.when(F.col("findings").isNotNull(), F.length("new_text").cast(dict(docs.dtypes).get(length, "long"))).otherwise(F.col(f"item.`{length}`")) if length in docs.columns else None}
+    return met.select(*[(own[c] if c in own else F.col(f"item.`{c}`")).alias(c) for c in docs.columns])
+
+
 def joined(findings: Column) -> Column:
     return F.array_join(F.transform(findings, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
 
