@@ -23,7 +23,7 @@ REVISIT_BYTES = 0  # payloads of at least so many bytes are stored once
 DATE = "2024-01-01T00:00:00Z"
 LEVEL = 6
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_HELD = "page_id long, url string, key binary, digest binary, payload_bytes long, size long, member binary"
+_HEAD = "page_id long, url string, key binary, digest binary, payload_bytes long, size long"
 _MANIFEST = "file string, records long, bytes long, sha256 string"
 _RECORD = "page_id long, url string, record_id string, record_type string, payload_bytes long, payload_digest string, refers_to long, file string, offset long"
 
@@ -65,7 +65,7 @@ def record(page_id: int | None, url: str | None, key: bytes, digest: bytes, payl
     return pack.compress("\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n") + pack.flush()
 
 
-def _hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _responses(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
     for batch in slices(batches, "html"):
         out = []
         for page_id, url, html in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html"))):
@@ -74,7 +74,18 @@ def _hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key = order_key(page_id, digest)
             member = record(page_id, url, key, digest, payload, len(payload))
             out.append((page_id, url, key, digest, len(payload), len(member), member))
-        yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary()))], names=[x.split()[0] for x in _HELD.split(", ")])
+        yield out
+
+
+def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in _responses(batches):
+        types = (pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=[x.split()[0] for x in _HEAD.split(", ")])
+
+
+def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in _responses(batches):
+        yield pa.record_batch([pa.array([r[2] for r in rows], pa.binary()), pa.array([r[6] for r in rows], pa.binary())], names=["key", "member"])
 
 
 def _revisits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,8 +155,8 @@ def write(pages: DataFrame, root: str, page_id: str = "page_id", url: str = "url
     when whole, a retried task replaces a file by itself, and readers go by the manifest, which is
     written last. No pages give an empty manifest.
     """
-    held = materialise(pages.select(pages[page_id].alias("page_id"), pages[url].alias("url"), pages[html].alias("html")).mapInArrow(_hold, _HELD), "records")
-    heads = held.select("page_id", "url", "key", "digest", "payload_bytes", "size")
+    rows = pages.select(pages[page_id].alias("page_id"), pages[url].alias("url"), pages[html].alias("html"))
+    heads = materialise(rows.mapInArrow(_heads, _HEAD), "heads")  # the records are made anew for the files: time for disk
     firsts = materialise(heads.where(F.col("payload_bytes") >= least).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("digest").alias("of"), "first_id"), "firsts")
     met = heads.join(firsts, heads["digest"] == firsts["of"], "left")
     first_id = F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id"))
@@ -158,8 +169,9 @@ def write(pages: DataFrame, root: str, page_id: str = "page_id", url: str = "url
     def file_of(keys: pa.Array) -> pa.Array:
         return pa.array(np.searchsorted(np.array(starts, "S30"), np.array(keys.to_pylist(), "S30"), side="right").astype(np.int64) - 1)
 
-    rows = placed.select(F.lit(0).alias("kind"), "key", F.col("revisit").alias("member")).union(held.select(F.lit(1), "key", "member"))
-    dealt = rows.withColumn("file_no", file_of("key")).repartition("file_no").sortWithinPartitions("file_no", "key", "kind")
+    bodies = rows.mapInArrow(_bodies, "key binary, member binary").select(F.lit(1), "key", "member")
+    both = placed.select(F.lit(0).alias("kind"), "key", F.col("revisit").alias("member")).union(bodies)
+    dealt = both.withColumn("file_no", file_of("key")).repartition("file_no").sortWithinPartitions("file_no", "key", "kind")
     dealt.mapInArrow(_writer(root), _MANIFEST).write.mode("overwrite").parquet(f"{root}/_manifest")
     return pages.sparkSession.read.schema(_MANIFEST).parquet(f"{root}/_manifest")
 
