@@ -112,16 +112,20 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, radius: int = RADIUS, text:
     return printed.join(label, "print").select("doc_id", "print", "component_id")
 
 
-@F.arrow_udf("array<long>")
-def shingle_set(texts: pa.Array) -> pa.Array:
-    """Distinct hashes of each text's runs of five words."""
-    out = []
-    for piece in pieces(texts):
-        w = words_of(piece)
-        h, first = shingle_hashes(w, word_hashes(w), SHINGLE)
-        edge = np.searchsorted(first, w.first)
-        out += [np.unique(h[a:b]).view(np.int64) for a, b in zip(edge, edge[1:])]
-    return pa.array(out, pa.list_(pa.int64()))
+def shingle_set(text: Column) -> Column:
+    """Distinct hashes of a text's runs of five words."""
+
+    @F.arrow_udf("array<long>")
+    def of(texts: pa.Array) -> pa.Array:
+        out = []
+        for piece in pieces(texts):
+            w = words_of(piece)
+            h, first = shingle_hashes(w, word_hashes(w), SHINGLE)
+            edge = np.searchsorted(first, w.first)
+            out += [np.unique(h[a:b]).view(np.int64) for a, b in zip(edge, edge[1:])]
+        return pa.array(out, pa.list_(pa.int64()))
+
+    return of(text)
 
 
 def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = FINE_WORDS, radius: int = FINE_RADIUS, least: float = SIMILARITY) -> DataFrame:
@@ -159,7 +163,7 @@ def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k:
             wanted = materialise(wanted.join(texts, F.col("want") == F.col("of")).select("want", F.col("doc_id").alias("want_id")), "wanted")
             source = docs.select(docs[doc_id].alias("doc_id"), content.alias("text")).withColumn("of", F.xxhash64("text"))
             met = source.join(wanted.hint("shuffle_hash"), (F.col("of") == F.col("want")) & F.col("doc_id").eqNullSafe(F.col("want_id")))
-            sets = materialise(met.select("of", shingle_set("text").alias("shingles")).groupBy("of").agg(F.any_value("shingles").alias("shingles")), "shingles")
+            sets = materialise(met.select("of", shingle_set(F.col("text")).alias("shingles")).groupBy("of").agg(F.any_value("shingles").alias("shingles")), "shingles")
         one = edges.join(sets, edges["a"] == sets["of"]).select("a", "b", F.col("shingles").alias("x"))
         two = one.join(sets, one["b"] == sets["of"]).select("a", "b", "x", F.col("shingles").alias("y"))
         shared = F.size(F.array_intersect("x", "y"))

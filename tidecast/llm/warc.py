@@ -22,6 +22,7 @@ ROLL_BYTES = 1 << 20  # compressed size after which a file is closed; raise it w
 REVISIT_BYTES = 0  # payloads of at least so many bytes are stored once
 DATE = "2024-01-01T00:00:00Z"
 LEVEL = 6
+MOST_TASKS = 10_000  # that read archives; beyond, a task reads several files
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _HEAD = "page_id long, url string, key binary, digest binary, payload_bytes long, size long"
 _MANIFEST = "file string, records long, bytes long, sha256 string"
@@ -241,7 +242,7 @@ def read(spark: SparkSession, root: str, payload: bool = False) -> DataFrame:
         return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
     files = spark.read.schema(_MANIFEST).parquet(f"{root}/_manifest").select("file")
-    return files.repartition("file").mapInArrow(records, schema)
+    return files.repartition(max(1, min(files.count(), MOST_TASKS))).mapInArrow(records, schema)  # a count, so that small rows are not put together
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
