@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chaining, decontaminate, itq, mixing, secrets, simhash, toxicity, url_filter, warc
+from . import chaining, decontaminate, itq, mixing, preference, secrets, simhash, toxicity, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -16,7 +16,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_simhash": simhash.op6_simhash,
     "op7_toxicity": toxicity.op7_toxicity,
+    "op8_preference": preference.op8_preference,
     "op9_itq": itq.op9_itq,
     "op10_secrets": secrets.op10_secrets,
 }
-SQL: dict[str, str] = {"op1_url_filter": url_filter.SQL, "op2_warc": warc.SQL, "op4_mixing": mixing.SQL, "op10_secrets": secrets.SQL}
+SQL: dict[str, str] = {"op1_url_filter": url_filter.SQL, "op2_warc": warc.SQL, "op4_mixing": mixing.SQL, "op8_preference": preference.SQL, "op10_secrets": secrets.SQL}
