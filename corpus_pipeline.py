@@ -35,7 +35,10 @@ def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: each document as often as its source's target takes it, with the number of the copy."""
-    return mixing.emit(mixing.mix(docs)).select(*[F.col(f"item.`{c}`") for c in docs.columns], "copy")
+    number = "copy"
+    while number in docs.columns:
+        number += "_no"
+    return mixing.emit(mixing.mix(docs)).select(*[F.col(f"item.`{c}`") for c in docs.columns], F.col("copy").alias(number))
 
 
 STAGES = [

@@ -85,7 +85,8 @@ def update(versions: DataFrame, ledger: str, path: str = "doc_id", text: str = "
     found = [F.when(F.size(f"hits_{r.kind}") > 0, _spans(F.col("text"), F.col(f"hits_{r.kind}"), r)) for r in rules]
     none = F.array().cast("array<struct<start:int,end:int>>")
     entries = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.coalesce(s, none).alias("spans")) for r, s in zip(rules, found)])
-    scanned = matched.select("blob", F.inline(F.filter(entries, lambda e: F.array_contains(F.col("todo"), e["rule"]))))
+    scanned = matched.select("blob", F.filter(entries, lambda e: F.array_contains(F.col("todo"), e["rule"])).alias("entries"))
+    scanned = scanned.groupBy("blob").agg(F.any_value("entries").alias("entries")).select("blob", F.inline("entries"))  # rows that repeat path and text
     scanned.write.mode("append").parquet(ledger)
     return paths
 

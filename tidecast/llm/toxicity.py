@@ -20,6 +20,7 @@ FLOOR = 0.5  # pseudo-count that every token has besides, shared by class size
 Z = 2.0  # standard errors that a log-odds must exceed; only the excess counts
 DRIFT = 0.25  # what every token costs, so that a segment ends where toxic tokens end
 E_VALUE = 0.01  # expected clean passages of that score in a text of that length
+STRONG = 8.0  # decimal orders of a p-value from which a text counts as equally sure
 HELD_OUT = 2  # crc32(doc_id) mod 4 of the rows that nothing is learned from
 CALIBRATE = 3  # and of those that only calibrate
 
@@ -131,7 +132,7 @@ def evidence(model: Model, n: int, best: float) -> float:
 
 
 def strength(p: float) -> float:
-    return min(30.0, -math.log10(max(p, 1e-30)))
+    return min(STRONG, -math.log10(max(p, 1e-30)))
 
 
 def _count(known: dict[int, int]):
