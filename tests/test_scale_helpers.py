@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidecast.operators import merge as MG
 from tidecast.operators import panel as P
-from tidecast.operators.prefix import Level, first_rows, running_sum
+from tidecast.operators.prefix import running_sum
 from tidecast.operators.quantiles import exact_quantiles
 
 
@@ -26,53 +26,40 @@ def skewed(n=3000, seed=3):
     return out
 
 
-@pytest.mark.parametrize("width, hot", [(3, 0), (5, 500), (4, 10**6)])
-def test_running_sum_on_a_hot_key(spark, width, hot):
+@pytest.mark.parametrize("ranges", [1, 40])
+def test_running_sum_on_a_hot_key(spark, monkeypatch, ranges):
     data = skewed()
+    data += [("HOT", None, "TX-A", 1.5), ("HOT", dt.date(2024, 1, 9), None, 2.5), (None, dt.date(2024, 1, 1), "TX-B", 3.0), (None, None, "TX-C", 4.0)]
     df = spark.createDataFrame(data, "acc string, d date, tx string, v double").repartition(9)
-    got = running_sum(
-        df,
-        ["acc"],
-        [Level("_d", F.col("d")), Level("_p", F.substring("tx", 1, width))],
-        [F.col("tx")],
-        F.col("v").cast("decimal(18,2)"),
-        "run",
-        hot_rows=hot,
-    )
+    monkeypatch.setattr(type(df), "repartitionByRange", lambda self, *c, f=type(df).repartitionByRange: f(self, ranges, *c))
+    got = running_sum(df, ["acc"], [F.col("d"), F.col("tx")], F.col("v").cast("decimal(18,2)"), "run")
     want = {}
-    for acc, grp in itertools.groupby(sorted(data), key=lambda r: r[0]):
+    low = lambda x: (x is not None, x or dt.date.min if not isinstance(x, str) else x)
+    for acc, grp in itertools.groupby(sorted(data, key=lambda r: (r[0] or "", low(r[1]), (r[2] is not None, r[2] or ""))), key=lambda r: r[0]):
         cents = 0
         for r in grp:
             cents += round(r[3] * 100)
-            want[r[2]] = cents
-    assert {r["tx"]: round(float(r["run"]) * 100) for r in got.collect()} == want
-
-
-def test_first_rows_of_a_total_order(spark):
-    data = [(dt.date(2024, 1, 1 + i % 5), f"C{(i * 7919) % 5000:06d}") for i in range(2000)]
-    df = spark.createDataFrame(data, "d date, id string")
-    levels = [Level("_d", F.col("d"), descending=True), Level("_p", F.substring("id", 1, 4))]
-    got = first_rows(df, 555, levels, [F.col("id")]).collect()
-    want = sorted(data, key=lambda r: (-r[0].toordinal(), r[1]))[:555]
-    assert sorted((r["d"], r["id"]) for r in got) == sorted(want)
+            want[r[0], r[1], r[2]] = cents
+    assert {(r["acc"], r["d"], r["tx"]): round(float(r["run"]) * 100) for r in got.collect()} == want
+    assert got.columns == ["acc", "d", "tx", "v", "run"]
 
 
 def test_keep_newest_cuts_inside_a_date(spark):
-    data = [(f"CUST{i:06d}", dt.date(2024, 1 + i % 3, 28), float(i)) for i in range(300)]
-    df = spark.createDataFrame(data, "cliente_id string, data_referencia date, saldo_m1 double")
-    got = {r["cliente_id"] for r in MG.keep_newest(df, 150, id_prefix=8).collect()}
-    want = {r[0] for r in sorted(data, key=lambda r: (-r[1].toordinal(), r[0]))[:150]}
-    assert got == want
-    assert MG.keep_newest(df, 10_000).count() == 300
+    data = [(f"C{i:03d}", dt.date(2024, 1 + i % 3, 28), float(i)) for i in range(300)]
+    data += [(None, dt.date(2024, 2, 28), 1.0), ("C001", dt.date(2024, 2, 28), 0.5), ("C999", None, 2.0), (None, None, 3.0)]
+    df = spark.createDataFrame(data, "cliente_id string, data_referencia date, saldo_m1 double").repartition(7)
+    low = lambda r: (-(r[1] or dt.date.min).toordinal(), r[0] is not None, r[0] or "", r[1] is not None, r[2])
+    for n in (150, 100, 1, 303, 304, 10_000, 0):
+        got = sorted(map(tuple, MG.keep_newest(df, n).collect()), key=low)
+        assert got == sorted(data, key=low)[:n]
 
 
-def test_hot_accounts_take_blocks_and_agree(lab):
+def test_running_balance_on_all_accounts(lab):
     b = lab.bank
-    plain = P.running_balance(b.transactions, b.accounts)
-    cut = P.running_balance(b.transactions, b.accounts, hot_rows=5, id_prefix=11)
     cols = ["transaction_id", "customer_id", "balance"]
-    want = sorted(map(tuple, plain.select(*cols).collect()))
-    assert sorted(map(tuple, cut.select(*cols).collect())) == want and len(want) > 500
+    one = sorted(map(tuple, P.running_balance(b.transactions, b.accounts).select(*cols).collect()))
+    two = sorted(map(tuple, P.running_balance(b.transactions.repartition(13), b.accounts).select(*cols).collect()))
+    assert one == two and len(one) > 500
 
 
 def test_panel_of_a_hot_account(spark):

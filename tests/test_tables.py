@@ -1,9 +1,11 @@
 import datetime as dt
+import time
 
 import pytest
 from bankdata import bank
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidecast import schemas as S
 from tidecast.operators import merge as MG
@@ -30,18 +32,13 @@ def test_shared_folder_comes_from_the_session(spark):
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
 
 
-def test_local_folder_only_in_a_local_session(spark, monkeypatch):
-    from tidecast import session
+def test_without_a_setting_the_warehouse_holds_the_stages():
+    from types import SimpleNamespace
 
-    monkeypatch.setattr(session, "configured_root", lambda _: None)
-    assert shared_root(spark) == shared_root(spark)
-
-    class Elsewhere:
-        class sparkContext:
-            master, applicationId = "yarn", "x"
-
-    with pytest.raises(RuntimeError):
-        shared_root(Elsewhere)
+    known = {"spark.sql.warehouse.dir": "hdfs:///wh/"}
+    assert shared_root(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: known.get(k, d)))) == "hdfs:///wh/_stages"
+    known["spark.checkpoint.dir"] = "hdfs:///shared"
+    assert shared_root(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: known.get(k, d)))) == "hdfs:///shared"
 
 
 def test_changed_file_is_new(spark):
@@ -275,3 +272,43 @@ def test_catalog_evolution(spark):
     TB.add_columns(spark, name, {"wape": "double", "x": "int"})
     assert rows(spark.table(name).select("x", "ano")) == [(1, 2024), (2, 2023)]
     assert spark.table(name).where("wape IS NOT NULL").isEmpty()
+
+
+def put(spark, root, name, columns, *lines):
+    text = spark.createDataFrame([(x,) for x in [",".join(columns), *lines]], "value string").coalesce(1)
+    text.write.text(f"{root}/{name}")
+
+
+def test_csv_is_bound_by_name(spark):
+    root = fresh_path(spark, "csv")
+    put(spark, root, "a.csv", ["B", "a"], "2,x", "oops,y", ",z")
+    put(spark, root, "b.csv", ["a", "more"], "w,1")
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.IntegerType())])
+    got = SB.read_by_name(spark, [f"{root}/a.csv", f"{root}/b.csv"], schema)
+    assert rows(got.fillna(-1), "a", "b", "_unparsed") == [("w", -1, 0), ("x", 2, 0), ("y", -1, 1), ("z", -1, 0)]
+    assert SB.read_csv(spark, f"{root}/a.csv", schema).columns == ["a", "b"]
+
+
+@pytest.mark.parametrize("files_per_batch", [1, None])
+def test_ingest_neither_loses_nor_ages_rows(spark, files_per_batch):
+    root = fresh_path(spark, "ingest")
+    put(spark, root, "in/a.csv", ["idade", "data_referencia", "cliente_id"], "99,2024-02-29,A", "98,2024-02-29,B", "1,,C", "2,2024-03-31,")
+    time.sleep(0.05)
+    put(spark, root, "in/b.csv", ["cliente_id", "idade", "data_referencia"], "A,20,2024-02-29", "D,old,2024-02-29")
+    IN.replay(spark, f"{root}/in", f"{root}/panel", f"{root}/cp", f"{root}/ledger", files_per_batch, suffix="")
+    panel = IN.read_panel(spark, f"{root}/panel")
+    assert rows(panel, "cliente_id", "idade", "ano", "mes", "trimestre") == [("A", 20, 2024, 2, 1), ("B", 98, 2024, 2, 1)]
+    assert spark.read.parquet(f"{root}/panel-rejects").count() == 3
+    assert LG.latest_versions(LG.read_ingest_ledger(spark, f"{root}/ledger")).count() >= 2
+
+
+def test_an_empty_source_leaves_the_panel(spark, lab):
+    from tidecast import jobs
+
+    cfg = jobs.Config(root=fresh_path(spark, "guard"))
+    TB.replace_panel(lab.panel, cfg.panel)
+    b = lab.bank
+    empty = type(b)(b.customers, b.accounts, b.loans, b.branches, b.transactions.where("false"))
+    with pytest.raises(ValueError):
+        jobs.build_panel(spark, empty, cfg, "2024-05-31")
+    assert IN.read_panel(spark, cfg.panel).count() == lab.panel.count()

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Fixed values of the panel: season flags, clamps of age and tenure, timestamp text.
 YEAR_END_MONTHS, YEAR_START_MONTH = [11, 12], 1
 AGE_RANGE, TENURE_RANGE = (18, 90), (1, 240)
+CALENDAR = ["data_referencia", "mes", "ano", "trimestre", "is_fim_de_ano", "is_inicio_de_ano"]
 ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss'+00:00'"
 
 

@@ -72,7 +72,10 @@ class Config:
 def build_panel(spark: SparkSession, bank: Bank, cfg: Config, as_of: str, **options) -> DataFrame:
     """Raw tables to the stored panel; also the full reconcile."""
     use_utc(spark)
-    TB.replace_panel(P.monthly_panel(bank, as_of, **options), cfg.panel)
+    panel = materialise(P.monthly_panel(bank, as_of, **options), "panel")
+    if panel.isEmpty():
+        raise ValueError("no panel row from this source; the stored panel stays")
+    TB.replace_panel(panel, cfg.panel)
     return IN.read_panel(spark, cfg.panel)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast import schemas as S
-from tidecast.operators.prefix import Level, running_sum
+from tidecast.operators.prefix import running_sum
 from tidecast.operators.quantiles import quantile_of_counts
 
 REQUIRED = {"cliente_id", "data_referencia", "saldo_m1"}
@@ -74,11 +74,7 @@ def split_by_position(labelled: DataFrame, test_share: float, val_share: float)
     numbered = running_sum(
         labelled,
         keys=[],
-        levels=[
-            Level("_day", F.col("data_referencia")),
-            Level("_idp", F.substring("cliente_id", 1, 10)),
-        ],
-        order_by=[F.col("cliente_id")],
+        order_by=[F.col("data_referencia"), F.col("cliente_id")],
         value=F.lit(1).cast("bigint"),
         out="_rn",
     )

@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast.functions import calendar as C
-from tidecast.operators.prefix import Level, first_rows
+from tidecast.operators.prefix import first_rows
 
 PANEL_KEY = ["cliente_id", "data_referencia"]
-MAX_ROWS = 600_000
 
 # Customer id patterns, tried in this order, and their formats.
 ID_FORMS = [(r"CUST(\d+)", "CUST%06d"), (r"CLI_(\d+)", "CLI_%05d")]
@@ -38,21 +37,20 @@ def upsert(base: DataFrame, batch: DataFrame, key: Sequence[str] = PANEL_KEY) ->
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
-def keep_newest(df: DataFrame, max_rows: int = MAX_ROWS, id_prefix: int = 13) -> DataFrame:
-    """The newest ``max_rows`` rows by date, then by customer id.
+def keep_newest(df: DataFrame, max_rows: int) -> DataFrame:
+    """The newest ``max_rows`` rows by date, then by customer id; rows without a date are the oldest.
 
-    Per-date and per-id-prefix counts locate the boundary; rows are only ranked
-    inside one (date, prefix) block.
+    Counts per date find the date at which the limit falls. Newer dates pass as
+    they are; only rows of that date are ranked, with all columns as tie-break.
     """
-    return first_rows(
-        df,
-        max_rows,
-        levels=[
-            Level("_day", F.col("data_referencia"), descending=True),
-            Level("_idp", F.substring("cliente_id", 1, id_prefix)),
-        ],
-        order_by=[F.col("cliente_id")],
-    )
+    dates = df.groupBy(F.col("data_referencia").alias("_date")).agg(F.count(F.lit(1)).alias("_n"))
+    newest = Window.orderBy(F.col("_date").desc_nulls_last())  # one row per date
+    dates = dates.withColumn("_left", F.lit(max_rows) - (F.sum("_n").over(newest) - F.col("_n"))).where("_left > 0")
+    met = df.join(dates, df["data_referencia"].eqNullSafe(dates["_date"]))
+    whole = met.where("_n <= _left").select(*df.columns)
+    cut = met.where("_n > _left").drop("_n", "_date")
+    order = [F.col(c) for c in ["cliente_id", *(c for c in df.columns if c != "cliente_id")]]
+    return whole.unionByName(first_rows(cut, F.col("_left"), order).select(*df.columns))
 
 
 def latest_per_customer(df: DataFrame) -> DataFrame:

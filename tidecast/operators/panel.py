@@ -15,7 +15,7 @@ from tidecast import schemas as S
 from tidecast.functions import calendar as C
 from tidecast.functions import money as M
 from tidecast.functions import recode as R
-from tidecast.operators.prefix import HOT_ROWS, Level, running_sum
+from tidecast.operators.prefix import running_sum
 from tidecast.sources.bank import Bank
 
 COMPLETED = "completed"
@@ -56,27 +56,15 @@ def running_balance(
     tx: DataFrame,
     accounts: DataFrame,
     status: str | None = COMPLETED,
-    id_prefix: int = 9,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Balance after every transaction, in date and id order.
-
-    An account too large for one task is cut into blocks of (day, leading
-    characters of the id); all others take the plain window.
-    """
+    """Balance after every transaction, in date and id order."""
     run = running_sum(
         keep_status(tx, status).withColumn("signed", M.signed_amount()),
         keys=["account_id"],
-        levels=[
-            Level("_day", F.col("transaction_date")),
-            Level("_idp", F.substring("transaction_id", 1, id_prefix)),
-        ],
-        order_by=[F.col("transaction_id")],
+        order_by=[F.col("transaction_date"), F.col("transaction_id")],
         value=M.units("signed"),
         out="_mov",
-        per_key=account_owners(accounts),
-        hot_rows=hot_rows,
-    )
+    ).join(account_owners(accounts), "account_id")
     balance = F.col("_mov") + M.units("saldo_abertura")
     return run.withColumn("balance", M.from_units(balance)).drop("_mov")
 

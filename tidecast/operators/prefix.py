@@ -1,16 +1,15 @@
-"""Running sums and row numbers over groups of any size.
+"""Running sums over groups of any size.
 
 A plain window sorts a whole group in one task, so one hot key would stall the
-job. Here the order is cut into blocks on a list of levels, coarse to fine (for
-example day, then the leading characters of the id). Block totals are combined
-map-side, their offsets are running sums over the few blocks of the level
-above, and rows are only ever sorted inside one finest block.
+job. Here rows are dealt by sampled ranges of (keys, order), whatever the size
+of a key, and stored. A window runs inside one range; a key that goes on from
+earlier ranges gets their sum as an offset. At most one key of a range does,
+so there are no more offsets than ranges.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,104 +17,36 @@ from pyspark.sql import functions as F
 from tidecast.session import materialise
 
 
-@dataclass
-class Level:
-    """One cut of the order; must rise (or fall, if ``descending``) with it."""
-
-    name: str
-    expr: Column
-    descending: bool = False
-
-    def order(self) -> Column:
-        return F.col(self.name).desc() if self.descending else F.col(self.name).asc()
-
-
-HOT_ROWS = 2_000_000
-
-
 def running_sum(
     df: DataFrame,
     keys: Sequence[str],
-    levels: Sequence[Level],
     order_by: Sequence[Column],
     value: Column,
     out: str,
-    per_key: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Inclusive running sum of ``value`` per ``keys`` in the order levels + order_by.
+    """Inclusive running sum of ``value`` per ``keys`` in the given order.
 
-    Rows are counted per key first (combined map-side). Only keys with more
-    than ``hot_rows`` rows are cut into blocks; the others share one plain
-    window. ``per_key`` adds columns by an inner join on the keys; for hot keys
-    it meets the block offsets, not the rows, so the join does not skew either.
+    NULL keys are a group, NULLs in the order sort where the order says, and
+    the sum of whole or decimal numbers does not depend on the ranges.
     """
     keys = list(keys)
-    if not keys:
-        return _blocked(df, keys, levels, order_by, value, out, per_key)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = sizes.where(F.col("_n") > hot_rows).select(*keys)
-    if hot.isEmpty():
-        return _plain(df, keys, levels, order_by, value, out, per_key)
-    hot = materialise(hot, "hot-keys")
-    cold = _plain(df.join(hot, keys, "left_anti"), keys, levels, order_by, value, out, per_key)
-    cut = _blocked(df.join(hot, keys, "left_semi"), keys, levels, order_by, value, out, per_key)
-    return cold.unionByName(cut)
-
-
-def _plain(df, keys, levels, order_by, value, out, per_key) -> DataFrame:
-    order = [lv.expr.desc() if lv.descending else lv.expr.asc() for lv in levels]
-    w = (
-        Window.partitionBy(*keys)
-        .orderBy(*order, *order_by)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    run = df.withColumn(out, F.sum(value).over(w))
-    return run if per_key is None else run.join(per_key, keys)
-
-
-def _blocked(df, keys, levels, order_by, value, out, per_key) -> DataFrame:
-    names = [lv.name for lv in levels]
-    df = df.withColumns({lv.name: lv.expr for lv in levels}).withColumn("_v", value)
-
-    finest = df.groupBy(*keys, *names).agg(F.sum("_v").alias("_s"))
-    offsets = None
-    for depth, lv in enumerate(levels, start=1):
-        group = keys + names[:depth]
-        totals = finest if depth == len(levels) else finest.groupBy(*group).agg(F.sum("_s").alias("_s"))
-        w = (
-            Window.partitionBy(*(keys + names[: depth - 1]))
-            .orderBy(lv.order())
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        level_offset = totals.select(
-            *group, F.coalesce(F.sum("_s").over(w), F.lit(0)).alias(f"_o{depth}")
-        )
-        if offsets is None:
-            offsets = level_offset
-        else:
-            offsets = level_offset.join(offsets, keys + names[: depth - 1])
-    offset = sum((F.col(f"_o{d}") for d in range(2, len(names) + 1)), F.col("_o1"))
-    offsets = offsets.select(*keys, *names, offset.alias("_offset"))
-    if per_key is not None:
-        offsets = offsets.join(per_key, keys)
-
-    inner = (
-        Window.partitionBy(*keys, *names)
-        .orderBy(*order_by)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return (
-        df.withColumn("_run", F.sum("_v").over(inner))
-        .join(offsets, keys + names)
-        .withColumn(out, F.col("_run") + F.col("_offset"))
-        .drop("_v", "_run", "_offset", *names)
-    )
-
-
-def first_rows(
-    df: DataFrame, n: int, levels: Sequence[Level], order_by: Sequence[Column]
-) -> DataFrame:
-    """Exactly the first ``n`` rows of a total order, without a global sort."""
-    numbered = running_sum(df, [], levels, order_by, F.lit(1).cast("bigint"), "_rn")
+    dealt = df.withColumn("_v", value).repartitionByRange(*[F.col(k) for k in keys], *order_by)
+    dealt = materialise(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
+    totals = dealt.groupBy("_range", *keys).agg(F.sum("_v").alias("_s"))
+    # one row per range and key; only a key that spans ranges has a sum before one
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.withColumn("_offset", F.sum("_s").over(earlier)).where("_offset is not null")
+    offsets = materialise(offsets.select(F.col("_range").alias("_at"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_offset"), "offsets")
+    inside = Window.partitionBy("_range", *keys).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
+    run = dealt.withColumn("_run", F.sum("_v").over(inside))
+    on = run["_range"] == offsets["_at"]
+    for i, k in enumerate(keys):
+        on = on & run[k].eqNullSafe(offsets[f"_k{i}"])
+    total = F.col("_run") + F.coalesce("_offset", F.lit(0))
+    return run.join(offsets, on, "left").withColumn(out, total).select(*df.columns, out)
+
+
+def first_rows(df: DataFrame, n: Column, order_by: Sequence[Column], keys: Sequence[str] = ()) -> DataFrame:
+    """The first ``n`` rows of each key (of all rows without keys) in a total order."""
+    numbered = running_sum(df, list(keys), order_by, F.lit(1).cast("bigint"), "_rn")
     return numbered.where(F.col("_rn") <= n).drop("_rn")

@@ -69,12 +69,12 @@ def fingerprint_drift(metrics: DataFrame) -> DataFrame:
 
 
 def wape_drift(predictions: DataFrame, metrics: DataFrame, margin: float = DRIFT_PP) -> DataFrame:
-    """Runs whose published WAPE exceeds the champion's training WAPE by the margin."""
+    """Runs whose published WAPE exceeds their own training WAPE by the margin."""
     published = predictions.groupBy("run_id", "modelo_versao").agg(
         SC.wape_sql("erro_absoluto", "saldo_realizado").alias("wape_publicado")
     )
-    trained = metrics.select("run_id", "modelo_versao", "champion_wape")
-    drift = F.col("wape_publicado") - F.col("champion_wape")
+    trained = metrics.select("run_id", "modelo_versao", F.col("wape").alias("wape_treino"))
+    drift = F.col("wape_publicado") - F.col("wape_treino")
     return (
         published.join(trained, ["run_id", "modelo_versao"])
         .withColumn("desvio_pp", drift)

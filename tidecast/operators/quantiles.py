@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -26,6 +26,7 @@ def exact_quantiles(
     below and inside it, and the bracket is taken only if the rank is proven to
     lie inside (else it is tried wider). What is left is ranked exactly by its
     distinct values, so a value shared by a third of the rows costs one entry.
+    The two values around the rank are the same with and without a bracket.
     """
     counts = df.agg(*[F.count(c).alias(n) for n, (c, _) in wanted.items()]).first()
     total = {n: counts[n] for n in wanted}
@@ -71,11 +72,18 @@ def exact_quantiles(
     distinct = (
         df.select(F.inline(F.array(*pairs))).where(F.col("v").isNotNull()).groupBy("name", "v").count()
     )
-    value = F.lit(None).cast("double")
+    spread = distinct.withColumn("upto", F.sum("count").over(Window.partitionBy("name").orderBy("v")))
+    picks = []
     for n in wanted:
-        share = wanted[n][1]
-        if bounds[n] is not None:
-            share = (rank[n] - below[n]) / max(1, inside[n] - 1)
-        value = F.when(F.col("name") == n, F.expr(f"percentile(v, {share!r}D, `count`)")).otherwise(value)
-    found = {r["name"]: r["q"] for r in distinct.groupBy("name").agg(value.alias("q")).collect()}
-    return {n: found.get(n) for n in wanted}
+        for side, at in (("lo", math.floor(rank[n])), ("hi", math.ceil(rank[n]))):
+            here = (F.col("name") == n) & (F.col("upto") > at - below[n])
+            picks.append(F.min(F.when(here, F.col("v"))).alias(f"{side}_{n}"))
+    found = spread.agg(*picks).first()
+    return {n: _between(found[f"lo_{n}"], found[f"hi_{n}"], rank[n]) for n in wanted}
+
+
+def _between(low: float | None, high: float | None, rank: float) -> float | None:
+    """Linear between the two values around a rank, the same at every size."""
+    if low is None or low == high:
+        return low
+    return (math.ceil(rank) - rank) * low + (rank - math.floor(rank)) * high

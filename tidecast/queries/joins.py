@@ -26,21 +26,26 @@ def _(lab: Lab):
 
 @query("JN-2", sql("""
 SELECT t.transaction_id, coalesce(a.saldo_abertura, 100) AS saldo_abertura
-FROM bank_tx t LEFT JOIN (SELECT * FROM bank_acc WHERE account_status = 'active') a USING (account_id)"""))
+FROM (SELECT transaction_id, account_id FROM bank_tx UNION ALL SELECT 'TX-SEM-CONTA', 'NENHUMA') t
+LEFT JOIN bank_acc a USING (account_id)"""))
 def _(lab: Lab):
-    known = P.account_owners(lab.bank.accounts.where("account_status = 'active'"))
-    return lab.bank.transactions.join(known, "account_id", "left").select(
+    known = P.account_owners(lab.bank.accounts)
+    stray = lab.spark.range(1).select(F.lit("TX-SEM-CONTA"), F.lit("NENHUMA"))
+    rows = lab.bank.transactions.select("transaction_id", "account_id").union(stray)
+    return rows.join(known, "account_id", "left").select(
         "transaction_id", F.coalesce("saldo_abertura", F.lit(M.OPENING_FLOOR)).alias("saldo_abertura")
     )
 
 
 @query("JN-3", sql("""
-SELECT c.customer_id, b.city FROM bank_cust c
-LEFT JOIN (SELECT DISTINCT branch_code, city FROM bank_branch WHERE city <> 'NATION_2') b
-USING (branch_code)"""))
-def _(lab: Lab):
-    cities = P.branch_cities(lab.bank.branches.where("city <> 'NATION_2'"))
-    return lab.bank.customers.join(cities, "branch_code", "left").select("customer_id", "city")
+SELECT c.customer_id, b.city
+FROM (SELECT customer_id, branch_code FROM bank_cust UNION ALL SELECT 'CLIENTE-SEM-AGENCIA', NULL) c
+LEFT JOIN (SELECT DISTINCT branch_code, city FROM bank_branch) b USING (branch_code)"""))
+def _(lab: Lab):
+    cities = P.branch_cities(lab.bank.branches)
+    stray = lab.spark.range(1).select(F.lit("CLIENTE-SEM-AGENCIA"), F.lit(None).cast(lab.bank.customers.schema["branch_code"].dataType))
+    rows = lab.bank.customers.select("customer_id", "branch_code").union(stray)
+    return rows.join(cities, "branch_code", "left").select("customer_id", "city")
 
 
 @query("JN-4", sql("SELECT cliente_id AS customer_id, qtd_produtos_ativos FROM profile"))

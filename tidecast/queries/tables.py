@@ -38,12 +38,12 @@ ORDER_SCHEMA = S._schema(
 )
 
 
-def orders_csv(lab: Lab, where=None) -> str:
+def orders_csv(lab: Lab, where=None, backwards: bool = False) -> str:
     path = fresh_path(lab.spark, "orders-csv")
     o = lab.table("orders")
     o = o.where(where) if where is not None else o
     cols = ["o_orderkey", "o_custkey", "o_totalprice", F.to_date("o_orderdate").alias("o_orderdate"), "o_orderpriority"]
-    TB.write_csv(o.select(*cols), path)
+    TB.write_csv(o.select(*(cols[::-1] if backwards else cols)), path)
     return path
 
 
@@ -53,7 +53,7 @@ def first_half():
 
 @query("SRC-1", ORDERS_CSV)
 def _(lab: Lab):
-    return SB.read_csv(lab.spark, orders_csv(lab), ORDER_SCHEMA).withColumn("o_orderdate", day("o_orderdate"))
+    return SB.read_csv(lab.spark, orders_csv(lab, backwards=True), ORDER_SCHEMA).withColumn("o_orderdate", day("o_orderdate"))
 
 
 @query("SRC-2", "SELECT 'presente' AS fonte, count(*) AS linhas FROM orders UNION ALL SELECT 'ausente', 0")
@@ -66,13 +66,14 @@ def _(lab: Lab):
     return rows(there, "presente").union(rows(there + "-nunca", "ausente"))
 
 
-@query("SRC-3", sql(f"SELECT {PANEL_SELECT.replace('possui_credito', '0 AS possui_credito')} FROM panel_c"))
+@query("SRC-3", sql(f"SELECT {PANEL_SELECT} FROM panel_c"))
 def _(lab: Lab):
     root = fresh_path(lab.spark, "bank")
     b = lab.bank
     TB.write_csv(TB.conform(b.customers, S.CUSTOMERS), f"{root}/customers.csv")
     TB.write_csv(TB.conform(b.accounts, S.ACCOUNTS), f"{root}/accounts.csv")
     TB.write_csv(TB.conform(b.branches, S.BRANCHES), f"{root}/branches.csv")
+    TB.write_csv(TB.conform(b.loans, S.LOANS), f"{root}/loans.csv")
     TB.conform(b.transactions, S.TRANSACTIONS).write.parquet(f"{root}/transactions.parquet")
     return panel_text(P.monthly_panel(SB.load_bank(lab.spark, root), AS_OF))
 
@@ -135,26 +136,31 @@ def _(lab: Lab):
     return category_summary(SB.read_csv(lab.spark, orders_csv(lab)), "o_orderpriority", "o_totalprice")
 
 
+ORDER_FILES = {"1": "um.csv", "2": "DOIS.CSV", "3": "tres.txt", "4": "quatro.Csv", "5": "cinco.csv"}
+
+
 def order_files(lab: Lab, fmt: str = "csv") -> str:
     """Orders as one file per priority, with names in mixed case and one that is no CSV."""
     root = fresh_path(lab.spark, "incoming")
     o = lab.table("orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
-    for digit, name in {"1": "um.csv", "2": "DOIS.CSV", "3": "tres.txt"}.items():
+    for digit, name in ORDER_FILES.items():
         part = o.where(F.col("o_orderpriority").startswith(digit)).drop("o_orderpriority")
         part.write.mode("overwrite").option("header", True).csv(f"{root}/{name}")
     return root
 
 
 @query("SRC-8", """
-SELECT CASE left(o_orderpriority, 1) WHEN '1' THEN 'um.csv' ELSE 'DOIS.CSV' END AS pasta, count(*) AS linhas
-FROM orders WHERE left(o_orderpriority, 1) IN ('1', '2') GROUP BY 1""")
+SELECT CASE left(o_orderpriority, 1) WHEN '1' THEN 'um.csv' WHEN '2' THEN 'DOIS.CSV' WHEN '4' THEN 'quatro.Csv'
+       WHEN '5' THEN 'cinco.csv' ELSE 'tres.txt' END AS pasta, left(o_orderpriority, 1) <> '3' AS csv, count(*) AS linhas
+FROM orders GROUP BY ALL""")
 def _(lab: Lab):
     root = order_files(lab)
     files = ST.list_files(lab.spark, root).withColumn("pasta", F.element_at(F.split("key", "/"), -2))
-    shown = files.where(~F.col("pasta").endswith(".txt")).select("pasta").distinct()
-    rows = lab.spark.read.option("header", True).csv([f"{root}/um.csv", f"{root}/DOIS.CSV"])
+    parts = files.where(~F.col("pasta").endswith(".txt")).select("pasta").distinct()
+    rows = lab.spark.read.option("header", True).csv([f"{root}/{name}" for name in ORDER_FILES.values()])
     rows = rows.select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("pasta"))
-    return rows.join(shown, "pasta").groupBy("pasta").agg(F.count(F.lit(1)).alias("linhas"))
+    shown = rows.join(parts.withColumn("csv", F.lit(True)), "pasta", "left")
+    return shown.groupBy("pasta", F.coalesce("csv", F.lit(False)).alias("csv")).agg(F.count(F.lit(1)).alias("linhas"))
 
 
 @query("SRC-9", """
@@ -399,32 +405,26 @@ def _(lab: Lab):
     path = fresh_path(lab.spark, "ledger")
     LG.append_rows(TB.conform(ledger, S.INGEST_LEDGER), path)
     LG.mark_processed(LG.unprocessed(listing, LG.read_ingest_ledger(lab.spark, path)), path)
-    marks = LG.watermark_map(LG.read_ingest_ledger(lab.spark, path))
-    return marks.select(F.explode("processed_keys").alias("key", "version"))
+    return LG.latest_versions(LG.read_ingest_ledger(lab.spark, path)).select("key", "version")
 
 
 @query("STR-3", f"""
-SELECT count(*) > 0 AS has_new_data, count(*) AS incoming_count, min(key) AS primeiro,
-       max(key) AS ultimo, NULL::VARCHAR AS skip_reason
-FROM ({LISTING}) l WHERE NOT EXISTS (SELECT 1 FROM ({LEDGER}) d WHERE d.key = l.key AND d.version = l.version)
-UNION ALL SELECT FALSE, 0, NULL, NULL, 'job_running'
-UNION ALL SELECT FALSE, 0, NULL, NULL, 'no_new_data'""")
+WITH n AS (SELECT l.key, l.version FROM ({LISTING}) l
+  WHERE NOT EXISTS (SELECT 1 FROM ({LEDGER}) d WHERE d.key = l.key AND d.version = l.version))
+SELECT 'novos' AS caso, (SELECT count(*) > 0 FROM n) AS has_new_data, (SELECT count(*) FROM n) AS incoming_count,
+       NULL::VARCHAR AS skip_reason, key, version FROM n
+UNION ALL SELECT 'ocupado', FALSE, 0, 'job_running', NULL, NULL
+UNION ALL SELECT 'nada', FALSE, 0, 'no_new_data', NULL, NULL""")
 def _(lab: Lab):
     listing, ledger = monthly_files(lab)
     done = listing.withColumn("marked_at", F.current_timestamp())
-    rows = [
-        LG.should_run(listing, ledger),
-        LG.should_run(listing, ledger, busy=True),
-        LG.should_run(listing, done),
-    ]
-    out = rows[0].union(rows[1]).union(rows[2])
-    return out.select(
-        "has_new_data",
-        "incoming_count",
-        F.array_min("new_file_keys").alias("primeiro"),
-        F.array_max("new_file_keys").alias("ultimo"),
-        "skip_reason",
-    )
+    cases = {"novos": (listing, ledger, False), "ocupado": (listing, ledger, True), "nada": (listing, done, False)}
+    rows = []
+    for name, (files, marks, busy) in cases.items():
+        files = files.withColumn("modified", F.lit(None).cast("timestamp"))
+        new = LG.new_files(files, marks, busy).select(F.lit(name).alias("caso"), "key", "version")
+        rows.append(LG.should_run(files, marks, busy).withColumn("caso", F.lit(name)).join(new, "caso", "left"))
+    return rows[0].union(rows[1]).union(rows[2])
 
 
 @query("STR-4", """
@@ -443,20 +443,26 @@ CUT = "2001-01-01"
 
 
 def seeded_panel(lab: Lab):
-    """Stored history, and the later months as incoming CSV files, one per month."""
+    """Stored history, and the later months as incoming CSV files, one per month.
+
+    The files order their columns the other way round and bring no year or
+    month. Each month came before with other balances, in files that are older.
+    """
     root = fresh_path(lab.spark, "replay")
     panel = lab.panel
     later = F.col("data_referencia") >= F.lit(CUT).cast("date")
     TB.write_panel(panel.where(~later), f"{root}/panel")
     batch = panel.where(later).withColumn("lote", C.month_key("data_referencia"))
-    batch.repartition("lote").write.partitionBy("lote").option("header", True).csv(f"{root}/incoming")
+    batch = batch.select(*[c for c in reversed(panel.columns) if c not in ("ano", "mes")], "lote")
+    for name, rows in (("a", batch.withColumn("saldo_m1", F.col("saldo_m1") + 1)), ("b", batch)):
+        rows.repartition("lote").write.partitionBy("lote").option("header", True).csv(f"{root}/incoming/{name}")
     return root, panel.where(later)
 
 
 @query("STR-5", sql(f"""
 SELECT 'r1' AS run_id, strftime(max(data_referencia), '%Y-%m-%d') AS data_referencia,
        count(*) FILTER (data_referencia >= DATE '{CUT}') AS rows_incoming,
-       count(*) FILTER (data_referencia >= DATE '{CUT}') AS rows_added,
+       0::BIGINT AS rows_rejected, count(*) FILTER (data_referencia >= DATE '{CUT}') AS rows_added,
        count(*) FILTER (data_referencia < DATE '{CUT}') AS rows_before, count(*) AS total_rows
 FROM panel"""))
 def _(lab: Lab):
@@ -476,7 +482,7 @@ def replayed(lab: Lab, files_per_batch):
     return panel.withColumns({"lotes": F.lit(batches).cast("bigint"), "arquivos": files})
 
 
-LATER = f"(SELECT count(DISTINCT data_referencia) FROM panel WHERE data_referencia >= DATE '{CUT}')"
+LATER = f"(SELECT 2 * count(DISTINCT data_referencia) FROM panel WHERE data_referencia >= DATE '{CUT}')"
 
 
 @query("STR-6", sql(f"SELECT {PANEL_SELECT}, {LATER} AS lotes, {LATER} AS arquivos FROM panel"))
@@ -498,15 +504,12 @@ def _(lab: Lab):
 
 
 @query("STR-9", f"""
-SELECT strftime(slot, '%Y-%m-%d %H:%M:%S') AS slot_15m, event_type, n, total FROM (
-  SELECT time_bucket(INTERVAL 15 MINUTES, ts) AS slot, event_type, count(*) AS n,
-         {money_sum("value")} AS total FROM events GROUP BY 1, 2)
-WHERE slot + INTERVAL 15 MINUTES <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 10 MINUTES""")
+SELECT strftime(slot, '%Y-%m-%d %H:%M:%S') AS slot_15m, event_type, n, total,
+       slot + INTERVAL 15 MINUTES > (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 10 MINUTES AS aberto
+FROM (SELECT time_bucket(INTERVAL 15 MINUTES, ts) AS slot, event_type, count(*) AS n,
+             {money_sum("value")} AS total FROM events GROUP BY 1, 2)""")
 def _(lab: Lab):
     root = fresh_path(lab.spark, "slots")
     stream = SL.event_stream(lab.spark, lab.root, lab.table("events").schema)
-    totals = SL.slot_totals(stream, "event_type", "value")
-    SL.run_to_table(totals, f"{root}/out", f"{root}/checkpoint")
-    back = lab.spark.read.schema(totals.schema).parquet(f"{root}/out")
-    return back.withColumn("slot_15m", stamp("slot_15m", "slot_15m"))
-
+    SL.run_to_table(SL.slot_totals(stream, "event_type", "value"), f"{root}/out", f"{root}/checkpoint")
+    return SL.all_slots(lab.spark, f"{root}/out", lab.events, "event_type", "value").withColumn("slot_15m", stamp("slot_15m", "slot_15m"))

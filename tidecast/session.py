@@ -20,6 +20,7 @@ def local_session(cores: str = "*", app: str = "tidecast", **conf: str) -> Spark
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config(CHECKPOINT_KEY, tempfile.mkdtemp(prefix="run-tidecast-"))
     )
     for k, v in conf.items():
         b = b.config(k, v)
@@ -33,28 +34,10 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_local_roots: dict[str, str] = {}
-
-
-def configured_root(spark: SparkSession) -> str | None:
-    return spark.conf.get(CHECKPOINT_KEY, None) or None
-
-
 def shared_root(spark: SparkSession) -> str:
-    """Folder all executors can reach: the cluster's checkpoint folder.
-
-    A machine-local folder is used only when the whole session runs on this
-    machine and names no folder itself.
-    """
-    root = configured_root(spark)
-    if root:
-        return root.rstrip("/")
-    sc = spark.sparkContext
-    if not sc.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder all executors share")
-    if sc.applicationId not in _local_roots:
-        _local_roots[sc.applicationId] = tempfile.mkdtemp(prefix="run-tidecast-")
-    return _local_roots[sc.applicationId]
+    """Folder all executors can reach: the cluster's checkpoint folder, else its warehouse."""
+    root = spark.conf.get(CHECKPOINT_KEY, None)
+    return root.rstrip("/") if root else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -62,6 +45,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a stage that nothing reads any more."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write a frame that several jobs read and read it back.
 

@@ -92,21 +92,6 @@ def mark_processed(files: DataFrame, path: str, at: Column | None = None) -> Non
     append_rows(files.select("key", "version", at.cast("timestamp").alias("marked_at")), path)
 
 
-def watermark_map(ledger: DataFrame, per_map: int = 10_000) -> DataFrame:
-    """The ledger as key-to-version maps, for export only.
-
-    A short ledger is one map; a long one is cut by key hash into maps of about
-    ``per_map`` entries, so no row grows with the ledger.
-    """
-    latest = latest_versions(ledger)
-    slices = max(1, -(-latest.count() // per_map))
-    cut = F.pmod(F.xxhash64("key"), F.lit(slices)).cast("int")
-    return latest.groupBy(cut.alias("slice")).agg(
-        F.map_from_entries(F.collect_list(F.struct("key", "version"))).alias("processed_keys"),
-        F.max("marked_at").alias("updated_at"),
-    )
-
-
 def due(ledger: DataFrame, now: Column, step_minutes: int) -> DataFrame:
     """Whether the last mark is at least ``step_minutes`` old, or absent."""
     last = F.max("marked_at")
@@ -114,24 +99,18 @@ def due(ledger: DataFrame, now: Column, step_minutes: int) -> DataFrame:
     return ledger.agg(F.coalesce(elapsed >= step_minutes, F.lit(True)).alias("due"))
 
 
-def should_run(
-    listing: DataFrame, ledger: DataFrame, key_limit: int = 1000, busy: bool = False
-) -> DataFrame:
-    """Decision row; the full count is exact, the shown keys are the first ``key_limit``."""
-    new = unprocessed(listing, ledger)
-    count = new.agg(F.count(F.lit(1))).scalar() if not busy else F.lit(0).cast("bigint")
-    shown = new.orderBy("key").limit(0 if busy else key_limit)
-    return (
-        shown.agg(F.array_sort(F.collect_list("key")).alias("new_file_keys"))
-        .withColumn("incoming_count", count)
-        .select(
-            (F.col("incoming_count") > 0).alias("has_new_data"),
-            "incoming_count",
-            "new_file_keys",
-            F.when(F.lit(busy), "job_running")
-            .when(F.col("incoming_count") == 0, "no_new_data")
-            .alias("skip_reason"),
-        )
+def should_run(listing: DataFrame, ledger: DataFrame, busy: bool = False) -> DataFrame:
+    """Decision row; the files it rests on are the rows of ``new_files``."""
+    new = new_files(listing, ledger, busy)
+    count = F.count(F.lit(1))
+    return new.agg(
+        (count > 0).alias("has_new_data"),
+        count.alias("incoming_count"),
+        F.when(F.lit(busy), "job_running").when(count == 0, "no_new_data").alias("skip_reason"),
     )
 
 
+def new_files(listing: DataFrame, ledger: DataFrame, busy: bool = False) -> DataFrame:
+    """Key, version and time of every file a run would take; none while a job is running."""
+    new = unprocessed(listing, ledger).select("key", "version", "modified")
+    return new.where("false") if busy else new

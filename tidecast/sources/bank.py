@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast import schemas as S
@@ -26,12 +27,55 @@ def read_csv(
     """Header CSV; without a schema the types are inferred by one more pass.
 
     With a schema the columns are bound by name, so a file may order them
-    otherwise or lack some.
+    otherwise or lack some (then NULL); see ``read_by_name``.
     """
-    reader = spark.read.option("header", True)
     if schema is None:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.option("enforceSchema", False).schema(schema).csv(path)
+        return spark.read.option("header", True).option("inferSchema", True).csv(path)
+    return read_by_name(spark, [path] if isinstance(path, str) else path, schema).select(*schema.names)
+
+
+def read_by_name(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    """Header CSVs as one frame, bound by column name, with file facts and faults.
+
+    The header of each path is read, paths with equal headers are one scan, and
+    every value is read as text and cast. Absent columns are NULL. Adds ``_file``,
+    ``_changed`` and ``_version`` of the file, and ``_unparsed``: the number of
+    values that are not empty but have no value of the column's type. Part files
+    of one folder must agree in their header, else the read fails.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        header = tuple(spark.read.option("header", True).csv(path).columns)
+        groups.setdefault(header, []).append(path)
+    frames = []
+    for header, members in groups.items():
+        if not header:
+            continue
+        text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        rows = spark.read.option("header", True).option("enforceSchema", False).schema(text).csv(members)
+        own = {c.strip().lower(): c for c in header}
+        meta, casts, faults = F.col("_metadata"), [], F.lit(0)
+        for f in schema:
+            if f.name.lower() not in own:
+                casts.append(F.lit(None).cast(f.dataType).alias(f.name))
+                continue
+            raw = F.col(f"`{own[f.name.lower()]}`")
+            value = raw if isinstance(f.dataType, T.StringType) else F.trim(raw).try_cast(f.dataType)
+            casts.append(value.alias(f.name))
+            faults = faults + ((F.trim(raw) != "") & value.isNull()).cast("int")
+        file = [
+            F.regexp_replace(meta["file_path"], "^([a-z0-9]+):/+", "$1:/").alias("_file"),
+            meta["file_modification_time"].alias("_changed"),
+            F.concat_ws("-", meta["file_size"].cast("string"), F.unix_micros(meta["file_modification_time"]).cast("string")).alias("_version"),
+        ]
+        frames.append(rows.select(*casts, *file, F.coalesce(faults, F.lit(0)).alias("_unparsed")))
+    if not frames:
+        facts = "_file string, _changed timestamp, _version string, _unparsed int"
+        return spark.createDataFrame([], T.StructType([*schema, *S._schema(facts)]))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def path_missing(exc: AnalysisException) -> bool:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast import schemas as S
-from tidecast.sources.bank import path_missing
+from tidecast.sources.bank import path_missing, read_by_name
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -56,15 +56,15 @@ def read_incoming(
 ) -> DataFrame | None:
     """All listed CSV files as one frame.
 
-    With a schema the files are one scan. Without one, files are inferred and
-    united by column name, so they may differ in columns.
+    Columns are bound by name, so files may differ in them; with a schema the
+    types are given, without one they are inferred per file.
     """
     paths = [f"{root}{k}" for k in parse_key_list(keys)]
     if not paths:
         return None
-    reader = spark.read.option("header", True)
     if schema is not None:
-        return reader.schema(schema).csv(paths)
+        return read_by_name(spark, paths, schema)
+    reader = spark.read.option("header", True)
     frames = [reader.option("inferSchema", True).csv(p) for p in paths]
     frames = [f for f in frames if f.columns]
     if not frames:

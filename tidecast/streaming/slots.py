@@ -27,6 +27,21 @@ def slot_totals(rows: DataFrame, key: str, value: str, ts: str = "ts", delay: st
     )
 
 
+def all_slots(spark: SparkSession, closed: str, rows: DataFrame, key: str, value: str, ts: str = "ts") -> DataFrame:
+    """The table of closed slots and, marked ``aberto``, the slots the watermark has not closed yet.
+
+    Open slots are summed from the rows behind the watermark's bound only.
+    """
+    latest = F.date_trunc("millisecond", F.max(ts))
+    bound = rows.agg((latest - F.expr(f"INTERVAL {DELAY}")).alias("b")).first()["b"]
+    done = spark.read.schema(slot_totals(rows, key, value).schema).parquet(closed).withColumn("aberto", F.lit(False))
+    if bound is None:
+        return done
+    recent = rows.where(F.col(ts) >= F.lit(bound) - F.expr(f"INTERVAL {SLOT}"))
+    still = slot_totals(recent, key, value).where(F.col("slot_15m") + F.expr(f"INTERVAL {SLOT}") > F.lit(bound))
+    return done.unionByName(still.withColumn("aberto", F.lit(True)))
+
+
 def run_to_table(totals: DataFrame, path: str, checkpoint: str) -> None:
     """Writes each slot once, when the watermark closes it."""
     query = (
