@@ -229,18 +229,19 @@ def score(text: Column, model: Model, spark: SparkSession) -> Column:
             out = []
             for piece in pieces(texts):
                 at = 0
-                for (n, parts, w), text in zip(_scan(piece, m.weights), piece):
+                sizes = pa.compute.binary_length(piece.fill_null("")).to_pylist()
+                for (n, parts, w), size in zip(_scan(piece, m.weights), sizes):
                     best = max((s for _, _, s in parts), default=0.0)
                     p = evidence(m, n, best)
                     passages = []
                     for a, b, s in parts:
                         e = m.scale * max(1, n) * math.exp(-min(700.0, m.decay * s))
                         if e <= E_VALUE:
-                            span = code_points(w.data[at:], np.array([w.start[a], w.end[b - 1]]) - at, 0)
+                            span = code_points(w.data[at : w.end[b - 1]], np.array([w.start[a], w.end[b - 1]]) - at, 0)
                             passages.append({"start": int(span[0]), "end": int(span[1]), "score": s, "e_value": e})
                     x = min(30.0, max(-30.0, m.intercept + m.slope * strength(p)))
                     out.append({"score": 1 / (1 + math.exp(-x)), "p_value": p, "passages": passages})
-                    at += len((text.as_py() or "").encode())
+                    at += size
             yield pa.array(out, pa.struct([("score", pa.float64()), ("p_value", pa.float64()), ("passages", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64()), ("e_value", pa.float64())])))]))
 
     return of(text)
