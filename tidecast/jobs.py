@@ -98,13 +98,16 @@ def _against_champion(row: DataFrame, champion: DataFrame) -> DataFrame:
 
 
 def retrain(spark: SparkSession, cfg: Config, added: int = 0) -> DataFrame:
-    """Label, prepare, split, train, measure, gate and publish; returns the stored metrics row."""
+    """Label, prepare, trim, split, train, measure, gate and publish; returns the stored metrics row.
+
+    The dates of the split are quantiles of the trimmed rows. With ``fit_scope="train"``
+    the split comes first, since it says which rows the preparation may see.
+    """
     use_utc(spark)
-    labelled = materialise(L.temporal_split(L.training_view(IN.read_panel(spark, cfg.panel))), "labelled")
+    labelled = materialise(L.training_view(IN.read_panel(spark, cfg.panel)), "labelled")
     if labelled.isEmpty():
         raise ValueError("no labelled rows in the panel")
-    fitted = FT.fit(labelled, cfg.fit_scope)
-    ready = materialise(TR.assemble(FT.transform(labelled, fitted, training=True)).drop(
+    ready = materialise(TR.assemble(prepare(labelled, cfg.fit_scope)).drop(
         *[c for c in FT.feature_columns() if c.startswith("x_")]
     ), "ready")
     rows, val, test = (ready.where(F.col("split") == s) for s in ("train", "val", "test"))
@@ -153,11 +156,21 @@ def retrain(spark: SparkSession, cfg: Config, added: int = 0) -> DataFrame:
     TB.write_predictions(dated, cfg.predictions, cfg.append_predictions)
     TB.write_json(ranking.coalesce(1), f"{cfg.root}/models/importance/{cfg.run_id}")
     TB.write_json(published.coalesce(1), f"{cfg.root}/models/history/{cfg.run_id}")
+    TB.write_json(ranking.coalesce(1), f"{cfg.root}/models/latest/importance")
+    TB.write_json(published.coalesce(1), f"{cfg.root}/models/latest/metrics")
     summary = published.select("modelo_versao", "wape", "r2", "promoted", "promotion_reason")
     LG.append_run(spark, cfg.runs, cfg.run_id, "train", "success", summary)
     return TB.metric_defaults(published)
 
 
+def prepare(labelled: DataFrame, fit_scope: str = "all") -> DataFrame:
+    """Derived, filled, trimmed and split rows with their features."""
+    if fit_scope == "train":
+        labelled = materialise(L.temporal_split(labelled), "split")
+        return FT.transform(labelled, FT.fit(labelled, fit_scope), training=True)
+    return L.temporal_split(materialise(FT.transform(labelled, FT.fit(labelled), training=True), "prepared"))
+
+
 def _promote(spark, cfg: Config, model, judged: DataFrame, ranking: DataFrame, fingerprint: str, now: str) -> None:
     """Model and ranking go to a path of their own; the history row is the commit."""
     base = f"{cfg.root}/champion/{cfg.run_id}"

@@ -116,6 +116,7 @@ class FeatureParams:
     cut: float | None = None
     labels: dict[str, list[str]] = field(default_factory=dict)
     scale: dict[str, tuple[float, float]] = field(default_factory=dict)
+    means: dict[str, float] = field(default_factory=dict)
 
     def to_json(self) -> str:
         return json.dumps(asdict(self), sort_keys=True)
@@ -138,6 +139,9 @@ def fit(labelled: DataFrame, scope: str = "all") -> FeatureParams:
     kept = trim_upper(filled, p.cut) if p.cut is not None else filled
     p.labels = label_values(kept)
     p.scale = scale_params(kept)
+    plain = [c for c in FEATURES if c not in {*CATEGORICAL, *BOOLEAN, *SCALED}]
+    found = kept.agg(*[F.avg(c).alias(c) for c in plain]).first().asDict() if plain else {}
+    p.means = {c: float(v) for c, v in found.items() if v is not None}
     return p
 
 
@@ -145,9 +149,12 @@ def transform(df: DataFrame, p: FeatureParams, training: bool = False) -> DataFr
     """Fitted preparation; keys, dates and labels of the row are carried along.
 
     The trim applies to training data only. New rows are filled with the fitted
-    medians, so a row scores the same whatever batch it comes in.
+    medians, and unscaled features with the fitted means, so a row scores the same
+    whatever batch it comes in. ``raw_<lag>`` keeps each lag as it came.
     """
-    out = fill_lags(derived_features(df), p.medians)
+    raw = df.withColumns({f"raw_{c}": F.col(c) for c in S.LAGS})
+    out = fill_lags(derived_features(raw), p.medians)
+    out = out.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in p.means.items()})
     if training and p.cut is not None:
         out = trim_upper(out, p.cut)
     out = out.withColumns({f"x_{c}": label_code(c, p.labels[c]) for c in CATEGORICAL})

@@ -28,8 +28,10 @@ DEFAULTS: dict[str, Any] = {
     "early_stopping_rounds": 20,
 }
 WHOLE = {"n_estimators", "max_depth", "min_child_weight", "random_state", "early_stopping_rounds"}
+KEY = ["cliente_id", "data_referencia"]
 VERSION_PREFIX = "gbt-saldo-v1-"
 TOP_FEATURES = 10
+LAYOUT = 32  # partitions of the training rows; more for more data, but the same for runs to be compared
 
 
 def parameters(given: Mapping[str, Any] | str | None = None) -> dict[str, Any]:
@@ -73,19 +75,27 @@ def best_round(losses: list[float], patience: int) -> int:
 
 
 def assemble(prepared: DataFrame) -> DataFrame:
-    """Feature vector; what is still missing counts as 0, which is the mean of a scaled column."""
+    """Feature vector; a scaled column that is still missing counts as 0, its mean."""
     filled = prepared.fillna(0, subset=FT.feature_columns())
     return VectorAssembler(inputCols=FT.feature_columns(), outputCol="features").transform(filled)
 
 
+def laid_out(rows: DataFrame, partitions: int = LAYOUT) -> DataFrame:
+    """Rows by key hash and in order, since each partition draws its own subsample."""
+    return rows.repartition(partitions, *KEY).sortWithinPartitions(*KEY)
+
+
 def train(rows: DataFrame, validation: DataFrame, given: Mapping[str, Any] | str | None = None) -> GBTRegressionModel:
     """Fits all rounds on the training rows, then refits at the best validation round.
 
+    Rows are laid out first, so equal rows give an equal model however they were stored.
+
     MLlib's own stop has no patience, so validation error per round is read
     from the full model; that list has one number per tree.
     """
     p = parameters(given)
     trees = p["n_estimators"]
+    rows = laid_out(rows)
     model = regressor(p, trees).fit(rows)
     if not p["early_stopping_rounds"] or validation.isEmpty():
         return model
@@ -111,13 +121,13 @@ def score(model: GBTRegressionModel, prepared: DataFrame) -> DataFrame:
 
     ``base_naive`` and ``base_media`` use the raw lags the preparation carried along.
     """
-    mean, _ = FT.row_stats(S.LAGS)
+    mean, _ = FT.row_stats([f"raw_{c}" for c in S.LAGS])
     out = model.transform(prepared).select(
         "cliente_id",
         "data_referencia",
         F.col("prediction").alias("saldo_predito"),
         F.col(S.LABEL).alias("saldo_realizado"),
-        F.col("saldo_m1").alias("base_naive"),
+        F.col("raw_saldo_m1").alias("base_naive"),
         mean.alias("base_media"),
         "uf",
         "ano",
@@ -142,13 +152,18 @@ def train_per_segment(
     rows: DataFrame, validation: DataFrame, given: Mapping[str, Any] | str | None = None
 ) -> dict[str, GBTRegressionModel]:
     """One model per segment; segments are few, each fit is a distributed job."""
-    segments = sorted(r[0] for r in rows.select("segmento").distinct().collect())
+    segments = sorted(r[0] for r in rows.select("segmento").distinct().collect() if r[0] is not None)
     own = F.col("segmento")
     return {s: train(rows.where(own == s), validation.where(own == s), given) for s in segments}
 
 
-def score_per_segment(models: dict[str, GBTRegressionModel], prepared: DataFrame) -> DataFrame:
-    parts = [score(m, prepared.where(F.col("segmento") == s)) for s, m in models.items()]
+def score_per_segment(
+    models: dict[str, GBTRegressionModel], prepared: DataFrame, otherwise: GBTRegressionModel
+) -> DataFrame:
+    """Every row by the model of its segment; a segment without one, or NULL, by the global model."""
+    own = F.col("segmento")
+    parts = [score(m, prepared.where(own == s)) for s, m in models.items()]
+    parts.append(score(otherwise, prepared.where(~F.coalesce(own.isin(list(models)), F.lit(False)))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -1,12 +1,14 @@
 """Preparation, training and promotion.
 
-Results of trained trees have no SQL form; those queries are covered by tests.
-They run few and shallow trees over all rows.
+Forecasts of trained trees have no SQL form, but what surrounds them has: which
+rows are tested, their actuals and baselines, that errors follow from forecasts.
+The trees have the default depth and patience, and are few, so that a check ends.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.regression import GBTRegressionModel
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidecast import jobs as J
@@ -21,11 +23,12 @@ from tidecast.operators import train as TR
 from tidecast.plans import reports as R
 from tidecast.queries.aggregates import rounded_metrics, sql_rounded
 from tidecast.queries.base import Lab, day, query
-from tidecast.queries.oracle import MEAN6, metrics, sql
-from tidecast.session import fresh_path, materialise
+from tidecast.queries.oracle import MEAN6, metrics, sql, wape
+from tidecast.session import fresh_path
 from tidecast.sinks import tables as TB
+from tidecast.sources import tables as ST
 
-SMALL = {"n_estimators": 8, "max_depth": 4, "early_stopping_rounds": 3}
+SMALL = {"n_estimators": 12}
 KEYS = "cliente_id, strftime(data_referencia, '%Y-%m-%d') AS data_referencia"
 SQ = " + ".join(f"(saldo_m{i} - {MEAN6}) * (saldo_m{i} - {MEAN6})" for i in range(1, 7))
 DERIVED = f"""{MEAN6} AS media_saldo_historico, saldo_m1 - saldo_m6 AS tendencia_saldo,
@@ -96,16 +99,21 @@ def _(lab: Lab):
     return scaled_columns(FT.transform(lab.panel.where("ano >= 2000"), again))
 
 
-@query("ML-7", sql(f"""
-SELECT {KEYS}, CASE WHEN d >= tc THEN 'test' WHEN nd < tc AND d < vc THEN 'train'
-                    WHEN nd < tc THEN 'val' END AS split
-FROM (SELECT *, date_diff('day', DATE '1970-01-01', data_referencia) AS d,
-             date_diff('day', DATE '1970-01-01', proxima_data) AS nd FROM lab),
-     (SELECT quantile_cont(date_diff('day', DATE '1970-01-01', data_referencia), 0.8) AS tc FROM lab),
-     (SELECT quantile_cont(date_diff('day', DATE '1970-01-01', data_referencia), 0.85) AS vc FROM lab,
-             (SELECT quantile_cont(date_diff('day', DATE '1970-01-01', data_referencia), 0.8) AS c FROM lab)
-      WHERE date_diff('day', DATE '1970-01-01', data_referencia) < c
-        AND date_diff('day', DATE '1970-01-01', proxima_data) < c)"""))
+def split_sql(rows: str) -> str:
+    """The rows with their split; both dates are quantiles of these rows."""
+    d, nd = (f"date_diff('day', DATE '1970-01-01', {c})" for c in ("data_referencia", "proxima_data"))
+    return f"""
+SELECT s.*, CASE WHEN d >= tc THEN 'test' WHEN nd < tc AND d < vc THEN 'train' WHEN nd < tc THEN 'val' END AS split
+FROM (SELECT *, {d} AS d, {nd} AS nd FROM {rows}) s,
+     (SELECT quantile_cont({d}, 0.8) AS tc FROM {rows}),
+     (SELECT quantile_cont({d}, 0.85) AS vc FROM {rows}, (SELECT quantile_cont({d}, 0.8) AS c FROM {rows})
+      WHERE {d} < c AND {nd} < c)"""
+
+
+TESTED = f"(SELECT * FROM ({split_sql(TRIMMED)}) WHERE split = 'test')"
+
+
+@query("ML-7", sql(f"SELECT {KEYS}, split FROM ({split_sql('lab')})"))
 def _(lab: Lab):
     return L.temporal_split(lab.labelled).select("cliente_id", day(), "split")
 
@@ -145,15 +153,33 @@ def _(lab: Lab):
 
 
 def prepared(lab: Lab):
-    split = materialise(L.temporal_split(lab.labelled), "split")
-    ready = TR.assemble(FT.transform(split, FT.fit(split), training=True))
-    return (ready.where(F.col("split") == s) for s in ("train", "val", "test"))
+    """Training, validation and test rows, and the model; made once for a lab."""
+    if not hasattr(lab, "trained"):
+        ready = lab._store(TR.assemble(J.prepare(lab.labelled)), "ready")
+        rows, val, test = (ready.where(F.col("split") == s) for s in ("train", "val", "test"))
+        lab.trained = rows, val, test, TR.train(rows, val, SMALL)
+    return lab.trained
+
+
+def consistent(scored):
+    """What a check can know of a forecast."""
+    error = F.abs(F.col("saldo_realizado") - F.col("saldo_predito"))
+    near = F.abs(F.col("erro_absoluto") - error) <= 0.0001 + 1e-9 * error
+    return scored.select(
+        "cliente_id", day(), "segmento", F.round("saldo_realizado", 4).alias("saldo_realizado"),
+        F.round("base_naive", 4).alias("base_naive"), F.round(F.col("base_media") * 6, 2).alias("soma_meses"), near.alias("erro_confere"),
+    )
+
+
+CONSISTENT = sql(f"""
+SELECT {KEYS}, segmento, round({S.LABEL}, 4) AS saldo_realizado, round(saldo_m1, 4) AS base_naive,
+       round({MEAN6} * 6, 2) AS soma_meses, TRUE AS erro_confere FROM {TESTED}""")
 
 
-@query("ML-11")
+@query("ML-11", CONSISTENT)
 def _(lab: Lab):
-    rows, val, test = prepared(lab)
-    return TR.score(TR.train(rows, val, SMALL), test)
+    _, _, test, model = prepared(lab)
+    return consistent(TR.score(model, test))
 
 
 @query("ML-12", sql(f"""
@@ -164,16 +190,21 @@ def _(lab: Lab):
     return L.hash_split(lab.labelled).select("cliente_id", day(), "split")
 
 
-@query("ML-13")
+@query("ML-13", "SELECT feature, TRUE AS entre_0_e_1, 1.0::DOUBLE AS soma FROM (VALUES " + ", ".join(f"('{c}')" for c in FT.FEATURES) + ") v(feature)")
 def _(lab: Lab):
-    rows, val, _ = prepared(lab)
-    return TR.importance(TR.train(rows, val, SMALL), lab.spark)
+    ranking = TR.importance(prepared(lab)[-1], lab.spark)
+    total = ranking.agg(F.round(F.sum("importance"), 6)).scalar()
+    return ranking.select("feature", F.col("importance").between(0, 1).alias("entre_0_e_1"), total.alias("soma"))
 
 
-@query("TOP-2")
+@query("TOP-2", f"SELECT i + 1 AS posicao, TRUE AS em_ordem FROM range({TR.TOP_FEATURES}) r(i)")
 def _(lab: Lab):
-    rows, val, _ = prepared(lab)
-    return TR.top_features(TR.importance(TR.train(rows, val, SMALL), lab.spark))
+    ranking = TR.importance(prepared(lab)[-1], lab.spark)
+    top = TR.top_features(ranking).select(F.col("feature").alias("nome"), F.col("importance").alias("valor"))
+    above = ranking.join(top, F.col("importance") > F.col("valor")).groupBy("nome").agg(F.count(F.lit(1)).alias("maiores"))
+    order = Window.orderBy(F.desc("valor"), "nome")  # ten rows
+    placed = top.join(above, "nome", "left").withColumn("posicao", F.row_number().over(order).cast("bigint"))
+    return placed.select("posicao", (F.coalesce("maiores", F.lit(0)) < F.col("posicao")).alias("em_ordem"))
 
 
 @query("ML-14", sql("""
@@ -212,22 +243,29 @@ def _(lab: Lab):
     return h.drop("r2").withColumn("wape", F.round("wape", 6))
 
 
-@query("ML-18")
+@query("ML-18", sql(f"""
+SELECT 'retrain-1' AS run_id, (SELECT count(*) FROM lab) AS total_linhas, 0::BIGINT AS linhas_adicionadas,
+       (SELECT strftime(max(data_referencia), '%Y-%m-%d') FROM lab) AS data_referencia_lote,
+       round({wape('abs(' + S.LABEL + ' - saldo_m1)', S.LABEL)}, 4) AS naive_wape, count(*) AS linhas_previstas FROM {TESTED}"""))
 def _(lab: Lab):
     cfg = J.Config(root=fresh_path(lab.spark, "job"), run_id="retrain-1", params=SMALL)
-    J.build_panel(lab.spark, lab.bank, cfg, "2002-01-01", status=None)
-    return J.retrain(lab.spark, cfg)
+    TB.replace_panel(lab.panel, cfg.panel)
+    row = J.retrain(lab.spark, cfg)
+    scored = ST.read_predictions(lab.spark, cfg.predictions).agg(F.count(F.lit(1))).scalar()
+    naive = F.round(R.base_metric("naive_wape"), 4).alias("naive_wape")
+    return row.select("run_id", "total_linhas", "linhas_adicionadas", "data_referencia_lote", naive, scored.alias("linhas_previstas"))
 
 
-@query("ML-19")
+@query("ML-19", CONSISTENT)
 def _(lab: Lab):
-    rows, val, test = prepared(lab)
-    return TR.score_per_segment(TR.train_per_segment(rows, val, SMALL), test)
+    rows, val, test, model = prepared(lab)
+    return consistent(TR.score_per_segment(TR.train_per_segment(rows, val, SMALL), test, model))
 
 
-@query("SNK-12")
+@query("SNK-12", sql(f"SELECT {KEYS}, TRUE AS igual FROM {TESTED}"))
 def _(lab: Lab):
-    rows, val, test = prepared(lab)
+    _, _, test, model = prepared(lab)
     path = fresh_path(lab.spark, "champion")
-    TR.train(rows, val, SMALL).write().overwrite().save(path)
-    return TR.score(GBTRegressionModel.load(path), test)
+    model.write().overwrite().save(path)
+    back = TR.score(GBTRegressionModel.load(path), test).select("cliente_id", "data_referencia", F.col("saldo_predito").alias("lido"))
+    return TR.score(model, test).join(back, ["cliente_id", "data_referencia"]).select("cliente_id", day(), (F.col("lido") == F.col("saldo_predito")).alias("igual"))
