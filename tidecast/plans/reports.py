@@ -52,8 +52,14 @@ def _newest(df: DataFrame, n: int, *then: str) -> DataFrame:
     return df.orderBy(F.desc("dt_processamento"), *(then or ("run_id",))).limit(n)
 
 
-def _latest_stamp(df: DataFrame) -> Column:
-    return df.agg(F.max("dt_processamento")).scalar()
+def _latest_stamp(runs: DataFrame) -> Column:
+    """Newest stamp of the run log, as a literal, so that it is pushed to the scan of the facts."""
+    return F.lit(runs.agg(F.max("dt_processamento")).first()[0])
+
+
+def _since(now: Column, hours: int) -> Column:
+    """Bound as the text the tables hold: text order is time order, and a text is pushed to the scan."""
+    return C.iso_utc(now - F.make_dt_interval(hours=F.lit(hours)))
 
 
 def seg_metric(segment: str, metric: str) -> Column:
@@ -167,8 +173,9 @@ def customer_truth(p: DataFrame, n: int = 100, d: Digits = Digits()) -> DataFram
     )
 
 
-def truth_of_latest_model(p: DataFrame, d: Digits = Digits()) -> DataFrame:
-    latest = p.agg(F.max(F.struct("dt_processamento", "modelo_versao"))["modelo_versao"]).scalar()
+def truth_of_latest_model(p: DataFrame, runs: DataFrame, d: Digits = Digits()) -> DataFrame:
+    newest = F.struct("dt_processamento", "modelo_versao")
+    latest = F.lit(runs.agg(F.max(newest)["modelo_versao"]).first()[0])
     bias = F.col("saldo_predito") - F.col("saldo_realizado")
     return (
         p.where(F.col("modelo_versao") == latest)
@@ -184,9 +191,9 @@ def truth_of_latest_model(p: DataFrame, d: Digits = Digits()) -> DataFrame:
     )
 
 
-def segment_error_latest(p: DataFrame, d: Digits = Digits()) -> DataFrame:
+def segment_error_latest(p: DataFrame, runs: DataFrame, d: Digits = Digits()) -> DataFrame:
     return (
-        p.where(F.col("dt_processamento") >= _latest_stamp(p))
+        p.where(F.col("dt_processamento") >= _latest_stamp(runs))
         .groupBy("segmento")
         .agg(
             _n().alias("registros"),
@@ -197,9 +204,9 @@ def segment_error_latest(p: DataFrame, d: Digits = Digits()) -> DataFrame:
     )
 
 
-def customer_sample_latest(p: DataFrame, n: int = 100, d: Digits = Digits()) -> DataFrame:
+def customer_sample_latest(p: DataFrame, runs: DataFrame, n: int = 100, d: Digits = Digits()) -> DataFrame:
     return (
-        p.where(F.col("dt_processamento") == _latest_stamp(p))
+        p.where(F.col("dt_processamento") == _latest_stamp(runs))
         .select(
             "cliente_id",
             "segmento",
@@ -297,7 +304,7 @@ def detail_sample(p: DataFrame, n: int = 500) -> DataFrame:
 def error_by_slot(p: DataFrame, now: Column, hours: int = 6, d: Digits = Digits()) -> DataFrame:
     ts = C.parse_iso("dt_processamento")
     return (
-        p.where(ts >= now - F.make_dt_interval(hours=F.lit(hours)))
+        p.where(F.col("dt_processamento") >= _since(now, hours))
         .groupBy(C.slot_15m(ts).alias("slot_15m"))
         .agg(
             _n().alias("registros"),
@@ -486,7 +493,7 @@ def latest_run_per_slot(m: DataFrame, now: Column, hours: int = 6, d: Digits = D
     ts = C.parse_iso("dt_processamento")
     slot = Window.partitionBy("slot_15m").orderBy(F.desc("dt_processamento"), "run_id")
     return (
-        m.where(ts >= now - F.make_dt_interval(hours=F.lit(hours)))
+        m.where(F.col("dt_processamento") >= _since(now, hours))
         .withColumn("slot_15m", C.slot_15m(ts))
         .withColumn("rn", F.row_number().over(slot))
         .where("rn = 1")
@@ -634,7 +641,7 @@ def full_diagnosis(m: DataFrame, p: DataFrame, runs: int = 15, d: Digits = Digit
         ],
     )
     latest = tagged(
-        p.where(F.col("dt_processamento") == _latest_stamp(p))
+        p.where(F.col("dt_processamento") == _latest_stamp(m))
         .groupBy("segmento")
         .agg(_n().alias("registros"), _wape().alias("wape")),
         "SEG_ULTIMO_PROC",

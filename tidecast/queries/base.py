@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from tidecast.operators import label as L
 from tidecast.operators import panel as P
 from tidecast.plans import blend as B
-from tidecast.session import materialise, use_utc
+from tidecast.session import fresh_path, materialise, use_utc
+from tidecast.sinks import tables as TB
+from tidecast.sources import tables as ST
 from tidecast.sources import warehouse as W
 from tidecast.sources.bank import exists
 
@@ -90,7 +92,11 @@ class Lab:
 
     @cached_property
     def predictions(self) -> DataFrame:
-        return B.published_predictions(self.scored)
+        """The published table, partitioned by year, month and segment."""
+        path = fresh_path(self.spark, "predictions")
+        TB.write_predictions(B.published_predictions(self.scored), path)
+        self._stored.append(path)
+        return ST.read_predictions(self.spark, path)
 
     @cached_property
     def metrics(self) -> DataFrame:

@@ -71,12 +71,12 @@ SELECT cliente_id, segmento, ano, mes, saldo_predito, saldo_realizado AS gabarit
        dt_processamento
 FROM pred ORDER BY dt_processamento DESC, segmento, cliente_id LIMIT 100""")
 
-_pred_query("Q08", lambda p: R.truth_of_latest_model(p, D), f"""
+query("Q08", sql(f"""
 SELECT segmento, count(*) AS registros, {money_avg("saldo_predito")} AS media_predito,
        {money_avg("saldo_realizado")} AS media_gabarito, {BIAS} AS vies_medio, {W4} AS wape_pct
 FROM pred
 WHERE modelo_versao = (SELECT modelo_versao FROM pred ORDER BY dt_processamento DESC LIMIT 1)
-GROUP BY 1""")
+GROUP BY 1"""))(lambda lab: R.truth_of_latest_model(pred(lab), lab.metrics, D))
 
 _met_query("Q09", lambda m: R.training_evolution(m, D), """
 SELECT run_date, run_id, total_linhas, linhas_adicionadas, data_referencia_lote,
@@ -122,9 +122,9 @@ JOIN (SELECT modelo_versao, count(*) AS registros_holdout, count(DISTINCT client
     lambda lab: R.model_benchmark(lab.metrics, pred(lab), D)
 )
 
-_pred_query("Q15", lambda p: R.segment_error_latest(p, D), f"""
+query("Q15", sql(f"""
 SELECT segmento, count(*) AS registros, {W4} AS wape_pct, {MAPE4} AS mape_diag
-FROM pred WHERE dt_processamento = (SELECT max(dt_processamento) FROM pred) GROUP BY 1""")
+FROM pred WHERE dt_processamento = (SELECT max(dt_processamento) FROM pred) GROUP BY 1"""))(lambda lab: R.segment_error_latest(pred(lab), lab.metrics, D))
 
 _met_query("Q16", lambda m: R.segment_json_latest(m, D), f"""
 SELECT m.run_id, m.modelo_versao, round(m.rmse, 4) AS rmse_global, round(m.wape, 4) AS wape_global,
@@ -236,11 +236,11 @@ SELECT dt_processamento, run_id, round(rmse, 4) AS rmse, round(wape, 4) AS wape,
        round(mape, 6) AS mape_diag, linhas_adicionadas, modelo_versao, is_champion
 FROM met {NEWEST} LIMIT 30""")
 
-_pred_query("Q27", lambda p: R.customer_sample_latest(p, d=D), """
+query("Q27", sql("""
 SELECT cliente_id, segmento, ano, mes, saldo_predito, saldo_realizado AS gabarito, erro_absoluto,
        modelo_versao, run_id
 FROM pred WHERE dt_processamento = (SELECT max(dt_processamento) FROM pred)
-ORDER BY segmento, cliente_id LIMIT 100""")
+ORDER BY segmento, cliente_id LIMIT 100"""))(lambda lab: R.customer_sample_latest(pred(lab), lab.metrics, d=D))
 
 _pred_query("Q28", R.treasury_totals, f"""
 SELECT segmento, ano, mes, {money_sum("saldo_predito")} AS saldo_predito_total,
