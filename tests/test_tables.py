@@ -270,6 +270,11 @@ def test_catalog_evolution(spark):
     assert spark.table(name).count() == 1
     TB.discover_partitions(spark, name)
     TB.add_columns(spark, name, {"wape": "double", "x": "int"})
+    odd = spark.createDataFrame([(1, "it's"), (2, "a\\b"), (3, None)], "x int, seg string")
+    odd.write.partitionBy("seg").parquet(f"{path}-odd")
+    ST.create_external(spark, f"{name}_odd", f"{path}-odd", S._schema("x int, seg string"), ["seg"])
+    assert TB.register_partitions(spark, f"{name}_odd", odd, ["seg"]) == 3
+    assert spark.table(f"{name}_odd").where("seg = \"it's\"").count() == 1
     assert rows(spark.table(name).select("x", "ano")) == [(1, 2024), (2, 2023)]
     assert spark.table(name).where("wape IS NOT NULL").isEmpty()
 

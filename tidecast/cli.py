@@ -18,7 +18,7 @@ from tidecast.sources.bank import load_bank
 
 def arguments(argv=None) -> argparse.Namespace:
     ap = argparse.ArgumentParser(prog="tidecast")
-    ap.add_argument("job", choices=["panel", "check", "ingest", "ingest-changed", "retrain", "reports"])
+    ap.add_argument("job", choices=["panel", "validate", "check", "ingest", "ingest-changed", "retrain", "finalise", "reports"])
     ap.add_argument("--root", required=True, help="folder of the stored tables")
     ap.add_argument("--raw", help="folder of the raw bank tables")
     ap.add_argument("--incoming", help="folder of incoming CSV files")
@@ -30,6 +30,7 @@ def arguments(argv=None) -> argparse.Namespace:
     ap.add_argument("--params", default="{}")
     ap.add_argument("--fit-scope", choices=["all", "train"], default="all")
     ap.add_argument("--append", action="store_true", help="add prediction rows instead of replacing partitions")
+    ap.add_argument("--catalog", default="", help="database in which published tables are registered")
     ap.add_argument("--all-at-once", action="store_true", help="merge all pending files in one batch")
     return ap.parse_args(argv)
 
@@ -37,10 +38,14 @@ def arguments(argv=None) -> argparse.Namespace:
 def main(argv=None) -> None:
     a = arguments(argv)
     spark = SparkSession.builder.appName(f"tidecast-{a.job}").getOrCreate()
-    cfg = J.Config(a.root, a.run_id, a.params, a.fit_scope, a.append)
+    cfg = J.Config(a.root, a.run_id, a.params, a.fit_scope, a.append, a.catalog)
     if a.job == "panel":
         options = {"status": a.status, "min_months": a.min_months, "max_customers": a.max_customers}
         J.build_panel(spark, load_bank(spark, a.raw), cfg, a.as_of, **options)
+    elif a.job == "validate":
+        J.validate(spark, cfg, a.raw or a.incoming).show(truncate=False)
+    elif a.job == "finalise":
+        J.finalise(spark, cfg).show(truncate=False)
     elif a.job == "check":
         J.check_new_data(spark, cfg, a.incoming).show(truncate=False)
     elif a.job == "ingest":

@@ -43,6 +43,7 @@ class Config:
     params: dict[str, Any] | str = field(default_factory=dict)
     fit_scope: str = "all"
     append_predictions: bool = False
+    catalog: str = ""  # database in which the published tables are registered; empty: none
 
     @property
     def panel(self) -> str:
@@ -158,11 +159,24 @@ def retrain(spark: SparkSession, cfg: Config, added: int = 0) -> DataFrame:
     TB.write_json(published.coalesce(1), f"{cfg.root}/models/history/{cfg.run_id}")
     TB.write_json(ranking.coalesce(1), f"{cfg.root}/models/latest/importance")
     TB.write_json(published.coalesce(1), f"{cfg.root}/models/latest/metrics")
-    summary = published.select("modelo_versao", "wape", "r2", "promoted", "promotion_reason")
+    if cfg.catalog:
+        _register(spark, cfg, dated, published)
+    summary = published.select("modelo_versao", "wape", "r2", "promoted", "promotion_reason", "promotion_detail")
     LG.append_run(spark, cfg.runs, cfg.run_id, "train", "success", summary)
     return TB.metric_defaults(published)
 
 
+def _register(spark: SparkSession, cfg: Config, predictions: DataFrame, metrics: DataFrame) -> None:
+    """Catalog entries of the published tables, and the partitions this run wrote."""
+    for name, path, schema, by, rows in (
+        ("predictions", cfg.predictions, S.PREDICTIONS, S.PREDICTION_PARTITIONS, predictions),
+        ("metrics", cfg.metrics, S.METRICS, S.METRIC_PARTITIONS, TB.conform(TB.metric_defaults(metrics), S.METRICS)),
+    ):
+        table = f"{cfg.catalog}.{name}"
+        ST.create_external(spark, table, path, schema, by)
+        TB.register_partitions(spark, table, rows, by)
+
+
 def prepare(labelled: DataFrame, fit_scope: str = "all") -> DataFrame:
     """Derived, filled, trimmed and split rows with their features."""
     if fit_scope == "train":

@@ -31,6 +31,21 @@ def gate_reason(new: dict[str, Column], champ: dict[str, Column]) -> Column:
     return F.when(champ["wape"].isNull(), F.lit(FIRST)).otherwise(reason)
 
 
+def gate_detail(new: dict[str, Column], champ: dict[str, Column]) -> Column:
+    """Each rule with the run's figure, the bound it had to keep and the champion's figure."""
+    bounds = {
+        "wape": ("<=", champ["wape"] - MIN_WAPE_GAIN_PP),
+        "r2": (">=", champ["r2"] - MAX_R2_LOSS),
+        "total_linhas": (">=", champ["total_linhas"]),
+    }
+    shown = lambda c, n: c.cast("bigint").cast("string") if n == "total_linhas" else c.cast("decimal(38,4)").cast("string")
+    parts = [
+        F.concat(F.lit(f"{n} "), F.coalesce(shown(new[n], n), F.lit("-")), F.lit(f" {op} "), shown(bound, n), F.lit(" ("), shown(champ[n], n), F.lit(")"))
+        for n, (op, bound) in bounds.items()
+    ]
+    return F.when(champ["wape"].isNotNull(), F.concat_ws("; ", *parts))
+
+
 def promoted(reason: Column) -> Column:
     return reason.isin(FIRST, PASSED)
 
@@ -41,8 +56,10 @@ def evaluate(pairs: DataFrame) -> DataFrame:
     new = {n: F.col(n) for n in names}
     champ = {n: F.col(f"champion_{n}") for n in names}
     reason = gate_reason(new, champ)
-    return pairs.withColumn("promotion_reason", reason).withColumn(
-        "promoted", promoted(F.col("promotion_reason"))
+    return (
+        pairs.withColumn("promotion_reason", reason)
+        .withColumn("promotion_detail", gate_detail(new, champ))
+        .withColumn("promoted", promoted(F.col("promotion_reason")))
     )
 
 

@@ -14,6 +14,9 @@ from tidecast import schemas as S
 from tidecast.functions.recode import safe_int
 
 
+BATCH = 500  # partitions named in one catalog statement
+
+
 def _partitioned(df: DataFrame, path: str, by: list[str], append: bool) -> None:
     """Rebalancing splits a hot partition over several tasks and joins tiny ones."""
     out = df.hint("rebalance", *by).write.partitionBy(*by)
@@ -82,14 +85,22 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def register_partitions(spark: SparkSession, table: str, written: DataFrame, by: list[str]) -> int:
-    """Adds the partitions of a written frame to the catalog; their number is what is looped over."""
+    """Adds the partitions of a written frame to the catalog, BATCH of them in a statement."""
     rows = written.select(*by).distinct().collect()
-    for r in rows:
-        spec = ", ".join(f"{c}={r[c]!r}" for c in by)
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec})")
+    for i in range(0, len(rows), BATCH):
+        specs = " ".join(f"PARTITION ({', '.join(f'`{c}` = {_literal(r[c])}' for c in by)})" for r in rows[i : i + BATCH])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
     return len(rows)
 
 
+def _literal(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
+
+
 def discover_partitions(spark: SparkSession, table: str) -> None:
     """Registers what lies on disk, for tables written before the catalog entry."""
     spark.sql(f"MSCK REPAIR TABLE {table}")
