@@ -183,7 +183,7 @@ def test_itq(spark, monkeypatch, chunk):
     monkeypatch.setattr(itq, "comparisons", lambda rows, key, item: graph.comparisons(rows, key, item, chunk))
     rng = np.random.default_rng(6)
     base = rng.normal(size=(40, 16))
-    near = base[:10, None, :] + rng.normal(size=(10, 6, 16)) * 0.12
+    near = base[:10, None, :] + rng.normal(size=(10, 6, 16)) * 0.2
     rows = [(i, v.astype(np.float32).tolist(), i % 2) for i, v in enumerate(np.concatenate([base, near.reshape(-1, 16)]))]
     rows += [(200, rows[0][1], 0), (201, rows[0][1], None), (202, None, 0), (203, [], 0), (204, [0.0] * 16, 0), (205, [float("nan")] * 16, 0), (206, [None] * 16, 0), (207, [float("inf")] * 16, 0), (208, [1.0, 2.0], 0), (209, [2.0, 4.0], 0), (210, [1.0, 2.0] + [0.0] * 14, 0), (211, [1e30] * 16, 1), (212, [1e-30] * 16, 1), (None, rows[0][1], 0), rows[3]]
     df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<float>, label int, k1 string")

@@ -116,8 +116,8 @@ def test_codes_are_balanced_and_near():
     x = itq.unit(rng.normal(size=(2000, 32)))
     mean, turn = itq.learn(x)
     code = (x - mean) @ turn > 0
-    assert code.shape[1] == 32 and abs(code.mean(axis=0) - 0.5).max() < 0.06
-    assert np.allclose(turn.T @ turn, np.eye(32))
+    assert code.shape[1] == 64 and abs(code.mean(axis=0) - 0.5).max() < 0.06
+    assert np.allclose(turn[:, :32].T @ turn[:, :32], np.eye(32)) and np.allclose(turn[:, 32:].T @ turn[:, 32:], np.eye(32))
     near = itq.unit(x + rng.normal(size=x.shape) * 0.01)
     assert (((near - mean) @ turn > 0) != code).mean() < 0.05
 

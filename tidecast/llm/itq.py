@@ -13,7 +13,7 @@ from .common import table
 from .graph import comparisons, components, forest, per_group
 
 COSINE = 0.93
-BITS = 64  # of a code at most; vectors of fewer dimensions have as many bits as dimensions
+BITS = 64  # of a code; vectors of fewer dimensions get several rotations of their own
 TABLES = 8  # blocks of a code; codes that differ in fewer bits always share a block
 TRAIN = 20_000  # distinct vectors that the rotation is learned from at most, chosen by hash
 ROUNDS = 50
@@ -26,18 +26,17 @@ def learn(sample: np.ndarray, bits: int = BITS, rounds: int = ROUNDS, seed: int
     between the signs and the orthogonal map that comes nearest to them.
     """
     size = sample.shape[1]
-    bits = min(bits, size)
-    if len(sample) < 2:
-        return np.zeros(size), np.eye(size)[:, :bits]
-    mean = sample.mean(axis=0)
+    mean = sample.mean(axis=0) if len(sample) else np.zeros(size)
     centred = sample - mean
-    main = np.linalg.eigh(centred.T @ centred)[1][:, ::-1][:, :bits]
-    flat = centred @ main
-    turn = np.linalg.qr(np.random.default_rng(seed).normal(size=(bits, bits)))[0]
-    for _ in range(rounds):
-        u, _, v = np.linalg.svd(np.where(flat @ turn > 0, 1.0, -1.0).T @ flat)
-        turn = (u @ v).T
-    return mean, main @ turn
+    main = np.linalg.eigh(centred.T @ centred)[1][:, ::-1][:, : min(bits, size)]
+    flat, turns = centred @ main, []
+    for k in range(-(-bits // size)):
+        turn = np.linalg.qr(np.random.default_rng(seed + k).normal(size=(main.shape[1],) * 2))[0]
+        for _ in range(rounds if len(sample) > 1 else 0):
+            u, _, v = np.linalg.svd(np.where(flat @ turn > 0, 1.0, -1.0).T @ flat)
+            turn = (u @ v).T
+        turns.append(main @ turn)
+    return mean, np.concatenate(turns, axis=1)[:, :bits]
 
 
 def matrix(column: pa.Array, size: int) -> np.ndarray:
@@ -96,7 +95,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, vec_id: str = "vec_
     def code(batch: pa.Array) -> pa.Array:
         m, r = sent.value
         bits = np.packbits((unit(matrix(batch, size)) - m) @ r > 0, axis=1)
-        return pa.array([x.tobytes() for x in np.pad(bits, ((0, 0), (0, max(0, TABLES - bits.shape[1]))))], pa.binary())
+        return pa.array([x.tobytes() for x in bits], pa.binary())
 
     coded = classes.select("class", "label", F.col("n").alias("weight"), "embedding", code("embedding").alias("code"))
     blocks = F.transform(F.sequence(F.lit(0), F.lit(TABLES - 1)), lambda t: F.struct(t.alias("table_no"), F.substring("code", t + 1, F.lit(1)).alias("block")))
