@@ -72,7 +72,8 @@ def links(prints: DataFrame, radius: int = RADIUS, same: int = SAME, nearest: bo
     the links join. With `nearest`, the edges are those of each fingerprint to its nearest other one.
     """
     tables = F.array(*[F.struct(F.lit(i).alias("choice"), F.col("print").bitwiseAND(F.lit(m).cast("long")).alias("bucket")) for i, m in enumerate(block_masks(radius, same))])
-    rows = prints.select("print", F.explode(tables).alias("t")).select("t.choice", "t.bucket", "print")
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a stored table of prints can be one small file
+    rows = prints.repartition(tasks, "print").select("print", F.explode(tables).alias("t")).select("t.choice", "t.bucket", "print")
 
     def compare(group: pa.RecordBatch) -> pa.RecordBatch | None:
         p = group.column("print").to_numpy()
@@ -158,9 +159,10 @@ def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k:
         to_near = near.join(lows, near["b"] == lows["p"]).select(F.col("a").alias("print"), F.col("low_of").alias("b"))
         edges = edges.union(by_print.join(to_near, "print").select(F.col("of").alias("a"), "b"))
         edges = materialise(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "candidates")
-        if sets is None:  # every text that a later round compares has a candidate in this one
+        if sets is None:  # a text without a candidate now has none in later rounds: they compare what is left
             wanted = edges.select(F.col("a").alias("want")).union(edges.select("b")).distinct()
             wanted = materialise(wanted.join(texts, F.col("want") == F.col("of")).select("want", F.col("doc_id").alias("want_id")), "wanted")
+            left = left.join(wanted.select(F.col("want").alias("of")), "of", "left_semi")
             source = docs.select(docs[doc_id].alias("doc_id"), content.alias("text")).withColumn("of", F.xxhash64("text"))
             met = source.join(wanted.hint("shuffle_hash"), (F.col("of") == F.col("want")) & F.col("doc_id").eqNullSafe(F.col("want_id")))
             sets = materialise(met.select("of", shingle_set(F.col("text")).alias("shingles")).groupBy("of").agg(F.any_value("shingles").alias("shingles")), "shingles")
