@@ -29,6 +29,7 @@ from tidecast.sinks import tables as TB
 from tidecast.sources import tables as ST
 
 SMALL = {"n_estimators": 12}
+PER_SEGMENT = {"n_estimators": 4}
 KEYS = "cliente_id, strftime(data_referencia, '%Y-%m-%d') AS data_referencia"
 SQ = " + ".join(f"(saldo_m{i} - {MEAN6}) * (saldo_m{i} - {MEAN6})" for i in range(1, 7))
 DERIVED = f"""{MEAN6} AS media_saldo_historico, saldo_m1 - saldo_m6 AS tendencia_saldo,
@@ -259,7 +260,7 @@ def _(lab: Lab):
 @query("ML-19", CONSISTENT)
 def _(lab: Lab):
     rows, val, test, model = prepared(lab)
-    return consistent(TR.score_per_segment(TR.train_per_segment(rows, val, SMALL), test, model))
+    return consistent(TR.score_per_segment(TR.train_per_segment(rows, val, PER_SEGMENT), test, model))
 
 
 @query("SNK-12", sql(f"SELECT {KEYS}, TRUE AS igual FROM {TESTED}"))

@@ -446,7 +446,7 @@ def seeded_panel(lab: Lab):
     """Stored history, and the later months as incoming CSV files, one per month.
 
     The files order their columns the other way round and bring no year or
-    month. Each month came before with other balances, in files that are older.
+    month. All months came before with other balances, in one file that is older.
     """
     root = fresh_path(lab.spark, "replay")
     panel = lab.panel
@@ -454,8 +454,9 @@ def seeded_panel(lab: Lab):
     TB.write_panel(panel.where(~later), f"{root}/panel")
     batch = panel.where(later).withColumn("lote", C.month_key("data_referencia"))
     batch = batch.select(*[c for c in reversed(panel.columns) if c not in ("ano", "mes")], "lote")
-    for name, rows in (("a", batch.withColumn("saldo_m1", F.col("saldo_m1") + 1)), ("b", batch)):
-        rows.repartition("lote").write.partitionBy("lote").option("header", True).csv(f"{root}/incoming/{name}")
+    older = batch.withColumn("saldo_m1", F.col("saldo_m1") + 1).drop("lote")
+    TB.write_csv(older, f"{root}/incoming/a", single=True)
+    batch.repartition("lote").write.partitionBy("lote").option("header", True).csv(f"{root}/incoming/b")
     return root, panel.where(later)
 
 
@@ -482,7 +483,7 @@ def replayed(lab: Lab, files_per_batch):
     return panel.withColumns({"lotes": F.lit(batches).cast("bigint"), "arquivos": files})
 
 
-LATER = f"(SELECT 2 * count(DISTINCT data_referencia) FROM panel WHERE data_referencia >= DATE '{CUT}')"
+LATER = f"(SELECT 1 + count(DISTINCT data_referencia) FROM panel WHERE data_referencia >= DATE '{CUT}')"
 
 
 @query("STR-6", sql(f"SELECT {PANEL_SELECT}, {LATER} AS lotes, {LATER} AS arquivos FROM panel"))
