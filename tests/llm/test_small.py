@@ -144,3 +144,42 @@ def test_window_prints_and_tables():
     true = np.bitwise_count(got[:, None, :] ^ size.prints[None, :, :]).sum(axis=2)
     assert {(a, b) for a, b in zip(*np.nonzero(true <= decontaminate.RADIUS))} == set(zip(window.tolist(), item.tolist()))
     assert (true[window, item] == distance).all()
+
+
+def two_texts(sizes, gaps, seed):
+    """Words of two random texts that share passages of `sizes`, with `gaps` other words of their own between."""
+    rng = np.random.default_rng(seed)
+    a, b, at = [], [], []
+    for i, n in enumerate(sizes):
+        own = gaps[i] if i < len(gaps) else 0
+        same = rng.integers(0, 1 << 40, n).tolist()
+        at.append((len(a), len(b), n))
+        a += same + rng.integers(0, 1 << 40, own).tolist()
+        b += same + rng.integers(0, 1 << 40, own).tolist()
+    return a, b, at
+
+
+def seeds_of(words, k=chaining.KMER):
+    return {tuple(words[i : i + k]): i for i in range(len(words) - k + 1)}
+
+
+def test_later_passages_of_a_pair_have_chains():
+    for seed, (sizes, gaps) in enumerate(itertools.product([(200, 60), (60, 60), (60, 200, 60)], [(30, 30), (50, 50), (100, 100), (300, 300), (500, 60)])):
+        a, b, at = two_texts(sizes, gaps, seed)
+        x, y = seeds_of(a), seeds_of(b)
+        paths = [path for _, path in chaining.chain([(x[s], y[s]) for s in x if s in y])]
+        for i, j, n in at:
+            assert any((i, j) in path and (i + n - chaining.KMER, j + n - chaining.KMER) in path for path in paths), (sizes, gaps)
+
+
+@settings(deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 200), st.integers(0, 200)), max_size=40))
+def test_chain_finds_the_best_in_reach(anchors):
+    k, cost, reach = chaining.KMER, chaining.GAP_COST, chaining.MAX_GAP + chaining.KMER
+    best = {}
+    for a, b in sorted(set(anchors)):
+        before = [(best[c, d] + cost * (c + d), c, d) for c, d in best if 0 < a - c <= reach and 0 < b - d <= reach]
+        gains = [best[c, d] + min(k, a - c, b - d) - cost * (a - c + b - d) for v, c, d in before if abs(v - max(before)[0]) < 1e-9]
+        best[a, b] = max([float(k), *gains])
+    if best:
+        assert chaining.chain(anchors)[0][0] <= max(best.values()) + 1e-9
