@@ -105,6 +105,24 @@ def test_deduplicate(spark):
     assert simhash.deduplicate(edge.empty(docs)).collect() == []
 
 
+@pytest.mark.parametrize("chunk", [512, 16])
+def test_deduplicate_compares_all_pairs_of_a_component(spark, monkeypatch, chunk):
+    monkeypatch.setattr(simhash, "comparisons", lambda rows, key, item: graph.comparisons(rows, key, item, chunk))
+    frame = edge.words(175, 50, 5000).split()  # pages of one template: fingerprints are near, most pairs are not alike
+    pages = [" ".join([*frame[:90], *edge.words(25, 1000 + i, 10**6).split(), *frame[90:]]) for i in range(150)]
+    texts = pages + [edited(t, i, 2) for i, t in enumerate(pages[:50])]
+    random.Random(3).shuffle(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    printed = {r[0]: r[1] for r in docs.select("doc_id", simhash.fingerprint(F.col("text"), simhash.FINE_WORDS)).collect()}
+    near = [(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if ((printed[i] ^ printed[j]) % (1 << 64)).bit_count() <= simhash.FINE_RADIUS]
+    sets = [set(shingles(split(t), 5)) for t in texts]
+    alike = [(i, j) for i, j in near if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    kept = {r["doc_id"] for r in simhash.deduplicate(docs).collect()}
+    assert len(near) > 5 * len(alike) > 100
+    assert [p for p in alike if kept.issuperset(p)] == []
+    assert all(i in kept or any(len(sets[i] & sets[k]) >= 0.8 * len(sets[i] | sets[k]) for k in kept) for i in range(len(texts)))
+
+
 def test_deduplicate_given_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     before, after = docs.collect(), simhash.deduplicate(docs).collect()

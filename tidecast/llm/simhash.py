@@ -19,6 +19,7 @@ WORDS, RADIUS, SEED = 4, 4, 42
 SAME = 3  # blocks that must agree; there are RADIUS + SAME blocks
 FINE_WORDS, FINE_RADIUS = 2, 6  # of the fingerprints that propose pairs for `deduplicate`
 SHINGLE, SIMILARITY = 5, 0.8  # what decides there
+COLUMNS = 4096  # shingles of which one step of a comparison counts who holds them
 
 
 def fingerprints(w: Words, k: int) -> np.ndarray:
@@ -63,13 +64,13 @@ def block_masks(radius: int, same: int = SAME) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def links(prints: DataFrame, radius: int = RADIUS, same: int = SAME, nearest: bool = False) -> DataFrame:
+def links(prints: DataFrame, radius: int = RADIUS, same: int = SAME) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (column print) that differ in at most `radius` bits.
 
     Two such fingerprints agree in at least `same` of radius + same blocks, so they meet in the bucket
     of one choice of blocks; there the whole fingerprint is compared. The edges are a spanning forest of
     the links of every comparison, so they are linear in the rows dealt and join exactly the texts that
-    the links join. With `nearest`, the edges are those of each fingerprint to its nearest other one.
+    the links join.
     """
     tables = F.array(*[F.struct(F.lit(i).alias("choice"), F.col("print").bitwiseAND(F.lit(m).cast("long")).alias("bucket")) for i, m in enumerate(block_masks(radius, same))])
     tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a stored table of prints can be one small file
@@ -78,21 +79,12 @@ def links(prints: DataFrame, radius: int = RADIUS, same: int = SAME, nearest: bo
     def compare(group: pa.RecordBatch) -> pa.RecordBatch | None:
         p = group.column("print").to_numpy()
         apart = np.bitwise_count((p[:, None] ^ p[None, :]).view(np.uint64))
-        if nearest:
-            np.fill_diagonal(apart, 65)
-            b = apart.argmin(axis=1)  # of equals the smallest: rows are in order of print
-            own = apart[np.arange(len(p)), b] <= radius
-            return pa.record_batch({"a": p[own], "b": p[b[own]]}) if own.any() else None
         root = forest(apart <= radius)
         own = root != np.arange(len(p))
         return pa.record_batch({"a": p[own], "b": p[root[own]]}) if own.any() else None
 
     dealt = comparisons(rows, ["choice", "bucket"], "print")
-    edges = dealt.mapInArrow(per_group(compare, ["choice", "bucket", "part_a", "part_b"]), "a long, b long")
-    if not nearest:
-        return edges.distinct()
-    apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))).cast("long")
-    return edges.groupBy("a").agg(F.min_by("b", F.struct(apart, "b")).alias("b"))
+    return dealt.mapInArrow(per_group(compare, ["choice", "bucket", "part_a", "part_b"]), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = WORDS, radius: int = RADIUS, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -129,58 +121,61 @@ def shingle_set(text: Column) -> Column:
     return of(text)
 
 
+def verified(group: pa.RecordBatch, least: float) -> pa.RecordBatch | None:
+    """Spanning forest (a, b) of the texts of one comparison whose shingle sets have a Jaccard similarity of `least`."""
+    own, part_a, of = (group.column(c).to_numpy() for c in ("own", "part_a", "of"))
+    shingles = group.column("shingles")
+    size = pa.compute.list_value_length(shingles).to_numpy()
+    number, which = np.unique(shingles.flatten().to_numpy(), return_inverse=True)
+    row = np.repeat(np.arange(len(of)), size)
+    often = np.bincount(which, minlength=len(number)) > 1  # a shingle of one text is in no intersection
+    row, which = row[often[which]], (np.cumsum(often) - 1)[which[often[which]]]
+    order = np.argsort(which, kind="stable")
+    row, which = row[order], which[order]
+    left = np.flatnonzero(own == part_a)
+    right = left if (own == part_a).all() else np.flatnonzero(own != part_a)
+    shared = np.zeros((len(left), len(right)), np.float32)
+    for low in range(0, int(often.sum()), COLUMNS):
+        x, y = np.searchsorted(which, (low, low + COLUMNS))
+        holds = np.zeros((len(of), min(COLUMNS, int(often.sum()) - low)), np.float32)
+        holds[row[x:y], which[x:y] - low] = 1
+        shared += holds[left] @ holds[right].T
+    union = size[left][:, None] + size[right][None, :] - shared
+    linked = np.zeros((len(of), len(of)), bool)
+    linked[np.ix_(left, right)] = (union == 0) | (shared >= least * union)
+    root = forest(linked | linked.T)
+    moved = root != np.arange(len(of))
+    return pa.record_batch({"a": of[moved], "b": of[root[moved]]}) if moved.any() else None
+
+
 def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = FINE_WORDS, radius: int = FINE_RADIUS, least: float = SIMILARITY) -> DataFrame:
     """`docs` with one document of each group of near-duplicates, columns as they are.
 
-    Fingerprints over short shingles at a wider radius propose, five-word shingles decide: every text is
-    compared exactly to the text of its nearest fingerprint and to the first text of its SimHash component,
-    and pairs with a Jaccard similarity of at least `least` are a group. Groups are merged to their first
-    text and the rest is compared again until nothing merges, so candidates stay linear in the texts.
+    Fingerprints over short shingles at a wider radius propose, five-word shingles decide: texts whose
+    fingerprints are equal or joined by links within `radius` bits form a SimHash component, all pairs of
+    texts of a component are compared exactly, in tasks of bounded size, and pairs with a Jaccard
+    similarity of at least `least` are linked. The connected texts are a group.
     Of a group the smallest doc_id stays (nulls last, then by hash of the row); rows equal in all columns
     are one document. Texts without words are equal to each other. No documents give no rows.
     """
-    spark = docs.sparkSession
     content = F.coalesce(docs[text], F.lit(""))
     slim = docs.select(docs[doc_id].alias("doc_id"), row_hash(docs).alias("row"), F.xxhash64(content).alias("of"), fingerprint(content, k).alias("print"))
     slim = materialise(slim, "prints")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "of")).alias("first")
     texts = materialise(slim.groupBy("of", "print").agg(F.min("doc_id").alias("doc_id")), "texts")
-    left, merged, sets = texts, None, None
-    while True:
-        prints = materialise(left.groupBy("print").agg(first, F.min("of").alias("low"), F.count(F.lit(1)).alias("n")), "prints")
-        near = materialise(links(prints.select("print"), radius, nearest=True), "nearest")
-        roots = components(near)
-        lowest = roots.join(prints, roots["node"] == prints["print"]).groupBy("root").agg(F.min("first").alias("first"))
-        stars = roots.join(lowest, "root").select(F.col("node").alias("print"), F.col("first.of").alias("b"))
-        lows = prints.select(F.col("print").alias("p"), F.col("first.of").alias("low_of"))
-        by_print = left.select("of", "print")
-        edges = by_print.join(lows.join(prints.where("n > 1").select(F.col("print").alias("p")), "p"), F.col("print") == F.col("p")).select(F.col("of").alias("a"), F.col("low_of").alias("b"))
-        edges = edges.union(by_print.join(stars, "print").select(F.col("of").alias("a"), "b"))
-        to_near = near.join(lows, near["b"] == lows["p"]).select(F.col("a").alias("print"), F.col("low_of").alias("b"))
-        edges = edges.union(by_print.join(to_near, "print").select(F.col("of").alias("a"), "b"))
-        edges = materialise(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "candidates")
-        if sets is None:  # a text without a candidate now has none in later rounds: they compare what is left
-            wanted = edges.select(F.col("a").alias("want")).union(edges.select("b")).distinct()
-            wanted = materialise(wanted.join(texts, F.col("want") == F.col("of")).select("want", F.col("doc_id").alias("want_id")), "wanted")
-            left = left.join(wanted.select(F.col("want").alias("of")), "of", "left_semi")
-            source = docs.select(docs[doc_id].alias("doc_id"), content.alias("text")).withColumn("of", F.xxhash64("text"))
-            met = source.join(wanted.hint("shuffle_hash"), (F.col("of") == F.col("want")) & F.col("doc_id").eqNullSafe(F.col("want_id")))
-            sets = materialise(met.select("of", shingle_set(F.col("text")).alias("shingles")).groupBy("of").agg(F.any_value("shingles").alias("shingles")), "shingles")
-        one = edges.join(sets, edges["a"] == sets["of"]).select("a", "b", F.col("shingles").alias("x"))
-        two = one.join(sets, one["b"] == sets["of"]).select("a", "b", "x", F.col("shingles").alias("y"))
-        shared = F.size(F.array_intersect("x", "y"))
-        union = F.size("x") + F.size("y") - shared
-        alike = materialise(two.where((union == 0) | (shared >= least * union)).select("a", "b"), "alike")
-        found = components(alike)
-        moved = materialise(found.join(left, found["node"] == left["of"]).select("node", "root", "doc_id"), "groups")
-        if moved.isEmpty():
-            break
-        firsts = moved.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("node"))).alias("f")).select("root", F.col("f.node").alias("head"))
-        step = materialise(moved.join(firsts, "root").select("node", "head"), "merged")
-        merged = step if merged is None else materialise(merged.join(step.withColumnRenamed("node", "was").withColumnRenamed("head", "to"), F.col("head") == F.col("was"), "left").select("node", F.coalesce("to", "head").alias("head")).union(step.join(merged.select("node"), "node", "left_anti")), "merged")
-        left = materialise(left.join(step.where("node <> head").select(F.col("node").alias("of")), "of", "left_anti"), "left")
-    if merged is None:
-        merged = spark.createDataFrame([], "node long, head long")
+    roots = components(links(texts.select("print").distinct(), radius))
+    named = texts.join(roots.withColumnRenamed("node", "print"), "print", "left").select("of", "doc_id", F.coalesce("root", "print").alias("proposed"))
+    named = materialise(named, "proposed")
+    several = named.groupBy("proposed").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("proposed")
+    wanted = materialise(named.join(several, "proposed").select(F.col("of").alias("want"), F.col("doc_id").alias("want_id"), "proposed"), "wanted")
+    source = docs.select(docs[doc_id].alias("doc_id"), content.alias("text")).withColumn("of", F.xxhash64("text"))
+    met = source.join(wanted.hint("shuffle_hash"), (F.col("of") == F.col("want")) & F.col("doc_id").eqNullSafe(F.col("want_id")))
+    sets = met.select("of", "proposed", shingle_set(F.col("text")).alias("shingles")).groupBy("of").agg(F.any_value("proposed").alias("proposed"), F.any_value("shingles").alias("shingles"))
+    dealt = comparisons(materialise(sets, "shingles"), ["proposed"], "of")
+    compare = per_group(lambda g: verified(g, least), ["proposed", "part_a", "part_b"])
+    found = components(materialise(dealt.mapInArrow(compare, "a long, b long").distinct(), "alike"))
+    moved = materialise(found.join(texts, found["node"] == texts["of"]).select("node", "root", "doc_id"), "groups")
+    firsts = moved.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("node"))).alias("f")).select("root", F.col("f.node").alias("head"))
+    merged = materialise(moved.join(firsts, "root").select("node", "head"), "merged")
     group = slim.join(merged, slim["of"] == merged["node"], "left").select("doc_id", "row", F.coalesce("head", "of").alias("head"))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("row")))
     kept = group.groupBy("head").agg(best.alias("k")).select(F.col("k.doc_id").alias("kept_id"), F.col("k.row").alias("kept_row"))
