@@ -183,3 +183,26 @@ def test_chain_finds_the_best_in_reach(anchors):
         best[a, b] = max([float(k), *gains])
     if best:
         assert chaining.chain(anchors)[0][0] <= max(best.values()) + 1e-9
+
+
+def test_a_chain_that_fails_is_cut():
+    for seed, gap in itertools.product(range(5), (28, 30, 33)):
+        a, b, at = two_texts((52, 52), (gap,), seed)
+        path = [(i + x, j + x) for i, j, n in at for x in range(0, n - chaining.KMER + 1)]
+        got = chaining.passages(np.array(a), np.array(b), path)
+        assert [g[:4] for g in got] == [(i, i + n, j, j + n) for i, j, n in at] and all(g[4] == 1 for g in got)
+
+
+@settings(deadline=None)
+@given(st.lists(st.tuples(st.floats(0.1, 1), st.floats(-1, 5)), min_size=1, max_size=12))
+def test_longest_stretch(steps):
+    gain, loss = (np.array(x) for x in zip(*steps))
+    fits = [j - i for i in range(len(gain)) for j in range(i, len(gain)) if gain[i : j + 1].sum() - loss[i + 1 : j + 1].sum() >= 0]
+    i, j = chaining._longest(gain, loss)
+    assert j - i == max(fits)
+
+
+def test_passages_are_thinned_after_alignment():
+    rows = [(1, 0, 60, 7, 0, 60, 1.0), (1, 5, 58, 8, 5, 58, 1.0), (1, 50, 120, 9, 0, 70, 0.9)]
+    group = pa.RecordBatch.from_pylist([dict(zip(("a", "a_start", "a_end", "b", "b_start", "b_end", "similarity"), r)) for r in rows])
+    assert [r["b"] for r in chaining._best_of_text(group).to_pylist()] == [9, 7]
