@@ -206,3 +206,20 @@ def test_passages_are_thinned_after_alignment():
     rows = [(1, 0, 60, 7, 0, 60, 1.0), (1, 5, 58, 8, 5, 58, 1.0), (1, 50, 120, 9, 0, 70, 0.9)]
     group = pa.RecordBatch.from_pylist([dict(zip(("a", "a_start", "a_end", "b", "b_start", "b_end", "similarity"), r)) for r in rows])
     assert [r["b"] for r in chaining._best_of_text(group).to_pylist()] == [9, 7]
+
+
+def test_seeds_of_changed_passages_meet():
+    rng = np.random.default_rng(4)
+    for n, edits, least in ((55, 5, 29), (55, 8, 27), (100, 15, 30), (100, 20, 29)):
+        found = 0
+        for _ in range(30):
+            p = rng.integers(0, 1 << 40, n)
+            q = p.copy()
+            q[((np.arange(edits) + 0.5) * n / edits).astype(int)] = rng.integers(0, 1 << 40, edits)
+            texts = [np.concatenate([rng.integers(0, 1 << 40, 80), x, rng.integers(0, 1 << 40, 80)]) for x in (p, q)]
+            batch = pa.record_batch({"of": pa.array([0, 1]), "text": pa.array([" ".join(map(str, t)) for t in texts])})
+            seeds = [r for b in chaining._seeds(iter([batch])) for r in b.to_pylist()]
+            x, y = ({r["seed"]: r["pos"] for r in seeds if r["of"] == i and not r["again"]} for i in (0, 1))
+            paths = [path for _, path in chaining.chain([(x[s], y[s]) for s in x if s in y])]
+            found += any(chaining.passages(*texts, path) for path in paths if path[-1][0] - path[0][0] + chaining.KMER >= chaining.MIN_CHAIN)
+        assert found >= least, (n, edits, found)
