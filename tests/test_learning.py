@@ -1,3 +1,5 @@
+from unittest.mock import MagicMock
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +9,8 @@ from tidecast import schemas as S
 from tidecast.operators import features as FT
 from tidecast.operators import label as L
 from tidecast.operators import train as TR
+from tidecast.queries import learning
+from tidecast.queries.base import REGISTRY
 from tidecast.session import fresh_path
 from tidecast.sources import tables as ST
 
@@ -114,3 +118,20 @@ def test_command_line():
 
     a = arguments(["retrain", "--root", "x", "--params", '{"n_estimators": "5"}'])
     assert TR.parameters(a.params)["n_estimators"] == 5 and a.run_id == "manual"
+
+
+def test_queries_train_with_the_defaults(monkeypatch):
+    given = []
+    for name in ("fresh_path", "consistent", "F", "R", "ST", "TB"):
+        monkeypatch.setattr(learning, name, MagicMock())
+    monkeypatch.setattr(TR, "assemble", MagicMock())
+    monkeypatch.setattr(TR, "score_per_segment", MagicMock())
+    monkeypatch.setattr(TR, "train", lambda rows, val, p=None: given.append(p))
+    monkeypatch.setattr(TR, "train_per_segment", lambda rows, val, p=None: given.append(p))
+    monkeypatch.setattr(J, "prepare", MagicMock())
+    monkeypatch.setattr(J, "retrain", lambda spark, cfg: given.append(cfg.params) or MagicMock())
+    lab = MagicMock()
+    del lab.trained
+    for key in ("ML-18", "ML-19"):
+        REGISTRY[key].run(lab)
+    assert [TR.parameters(p) for p in given] == [TR.DEFAULTS] * 3

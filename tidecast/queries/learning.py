@@ -2,7 +2,7 @@
 
 Forecasts of trained trees have no SQL form, but what surrounds them has: which
 rows are tested, their actuals and baselines, that errors follow from forecasts.
-The trees have the default depth and patience, and are few, so that a check ends.
+Training has the default parameters: number of trees, depth and patience.
 """
 
 from __future__ import annotations
@@ -28,8 +28,6 @@ from tidecast.session import fresh_path
 from tidecast.sinks import tables as TB
 from tidecast.sources import tables as ST
 
-SMALL = {"n_estimators": 12}
-PER_SEGMENT = {"n_estimators": 4}
 KEYS = "cliente_id, strftime(data_referencia, '%Y-%m-%d') AS data_referencia"
 SQ = " + ".join(f"(saldo_m{i} - {MEAN6}) * (saldo_m{i} - {MEAN6})" for i in range(1, 7))
 DERIVED = f"""{MEAN6} AS media_saldo_historico, saldo_m1 - saldo_m6 AS tendencia_saldo,
@@ -158,7 +156,7 @@ def prepared(lab: Lab):
     if not hasattr(lab, "trained"):
         ready = lab._store(TR.assemble(J.prepare(lab.labelled)), "ready")
         rows, val, test = (ready.where(F.col("split") == s) for s in ("train", "val", "test"))
-        lab.trained = rows, val, test, TR.train(rows, val, SMALL)
+        lab.trained = rows, val, test, TR.train(rows, val)
     return lab.trained
 
 
@@ -249,7 +247,7 @@ SELECT 'retrain-1' AS run_id, (SELECT count(*) FROM lab) AS total_linhas, 0::BIG
        (SELECT strftime(max(data_referencia), '%Y-%m-%d') FROM lab) AS data_referencia_lote,
        round({wape('abs(' + S.LABEL + ' - saldo_m1)', S.LABEL)}, 4) AS naive_wape, count(*) AS linhas_previstas FROM {TESTED}"""))
 def _(lab: Lab):
-    cfg = J.Config(root=fresh_path(lab.spark, "job"), run_id="retrain-1", params=SMALL)
+    cfg = J.Config(root=fresh_path(lab.spark, "job"), run_id="retrain-1")
     TB.replace_panel(lab.panel, cfg.panel)
     row = J.retrain(lab.spark, cfg)
     scored = ST.read_predictions(lab.spark, cfg.predictions).agg(F.count(F.lit(1))).scalar()
@@ -260,7 +258,7 @@ def _(lab: Lab):
 @query("ML-19", CONSISTENT)
 def _(lab: Lab):
     rows, val, test, model = prepared(lab)
-    return consistent(TR.score_per_segment(TR.train_per_segment(rows, val, PER_SEGMENT), test, model))
+    return consistent(TR.score_per_segment(TR.train_per_segment(rows, val), test, model))
 
 
 @query("SNK-12", sql(f"SELECT {KEYS}, TRUE AS igual FROM {TESTED}"))
