@@ -20,6 +20,7 @@ def texts():
     return [
         None, "", " \n\t ", "one", "One two", "ONE TWO three four five", words(30, 1), words(120, 2), words(120, 2), words(3000, 3, 5000), *SECRETS,
         words(60, 4) + "\n" + words(55, 5), words(70, 6) + "  " + words(55, 5).upper(), "ümläut ΑΒΓ 漢字 " * 20,
+        "Press  any\tkey, now: PRESS any key." * 20 + "\x0b" + "the mit licence, the MIT-License; lesser general public\nlicense",
     ]
 
 
