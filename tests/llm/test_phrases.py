@@ -27,10 +27,15 @@ def zipf(r, n):
     return " ".join(f"w{int(r.paretovariate(0.7)) % 60}" + r.choice(["", "", "", ",", ".\n", "\t"]) for _ in range(n))
 
 
-@pytest.mark.parametrize("least, parts, size", [(3, 1, 8 << 20), (8, 7, 200)])
-def test_counts_are_whole(spark, monkeypatch, least, parts, size):
-    """Every phrase that is frequent at last is counted in all shards, whenever it becomes active."""
+@pytest.mark.parametrize("least, parts, size, bits", [(3, 1, 8 << 20, 1 << 20), (8, 7, 200, 256)])
+def test_counts_are_whole(spark, monkeypatch, least, parts, size, bits):
+    """Every phrase that is frequent at last is counted in all shards, whenever it becomes active.
+
+    A filter of 256 bits answers yes to nearly everything, and the counts stay the same.
+    """
     monkeypatch.setattr(collocations, "SLICE", size)
+    monkeypatch.setattr(collocations, "LEAST_BITS", bits)
+    monkeypatch.setattr(collocations, "MOST_BITS", bits)
     r = random.Random(least)
     rows = [(r.choice(["en", "de", None, "und", ""]), zipf(r, r.choice([0, 1, 5, 60, 400]))) for _ in range(60)]
     rows += [("en", None), (None, None), ("en", "late late late late " * 3), *rows[:5]]
@@ -47,8 +52,10 @@ def test_counts_are_whole(spark, monkeypatch, least, parts, size):
 
 def test_filter(spark):
     h = np.random.default_rng(1).integers(-(1 << 63), 1 << 63, 5000)
-    slots = collocations.filled(np.zeros(1 << 12, np.uint64), spark.createDataFrame([(int(x),) for x in h[:3000]], "h long"))
-    known = collocations.holds(slots, h.view(np.uint64))
+    rows = spark.createDataFrame([(int(x), i % 2) for i, x in enumerate(h[:3000])], "h long, filter int")
+    even, odd = collocations.filled([np.zeros(1 << 12, np.uint64)] * 2, rows)
+    known = collocations.holds(even | odd, h.view(np.uint64))
+    assert collocations.holds(even, h[:3000:2].view(np.uint64)).all() and collocations.holds(odd, h[1:3000:2].view(np.uint64)).all()
     assert known[:3000].all() and known[3000:].mean() < 0.01
 
 

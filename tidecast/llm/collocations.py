@@ -44,15 +44,17 @@ def holds(slots: np.ndarray, h: np.ndarray) -> np.ndarray:
     return found.astype(bool).all(axis=0)
 
 
-def filled(slots: np.ndarray, frequent: DataFrame) -> np.ndarray:
-    """The filter with the phrases of `frequent` (h: long) added; bits are united on the executors."""
-    bits = len(slots) * 64
+def filled(filters: list[np.ndarray], known: DataFrame) -> list[np.ndarray]:
+    """The filters with the phrases of `known` (h: long, filter: its number) added; bits are united on the executors."""
+    bits = len(filters[0]) * 64
     low, high = F.col("h").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("h", 32).bitwiseOR(F.lit(1).cast("long"))
     at = F.explode(F.array(*[(low + high * i).bitwiseAND(F.lit(bits - 1).cast("long")) for i in range(PROBES)]))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(F.lit(63).cast("long")).cast("int"))
-    rows = frequent.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("slot")).agg(F.bit_or(bit).alias("bits")).toArrow()
-    out = slots.copy()
-    out[rows["slot"].to_numpy()] |= rows["bits"].to_numpy().view(np.uint64)
+    rows = known.select("filter", at.alias("at")).groupBy("filter", F.shiftright("at", 6).alias("slot")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    number, slot, new = (rows[c].to_numpy() for c in ("filter", "slot", "bits"))
+    out = [f.copy() for f in filters]
+    for i, f in enumerate(out):
+        f[slot[number == i]] |= new[number == i].view(np.uint64)
     return out
 
 
@@ -75,13 +77,13 @@ def _vocabulary(w: Words) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     return number, coded.dictionary, word_hashes(w)[first]
 
 
-def count_slice(lang: pa.Array, text: pa.Array, step: int, filters: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+def count_slice(lang: pa.Array, text: pa.Array, step: int, frequent: dict[int, np.ndarray], suspect: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
     """Occurrences of what is active in one slice of a shard.
 
-    `filters` hold the frequent phrases known before step 0, 1, ..., `step`. A phrase of more than one word
-    starts at the first step whose filter holds both its ends, and is counted in that step and the
-    SHARDS - 1 after it, which is one cycle; so it is left out where the filter of SHARDS steps ago
-    held both ends already. Words start at step 0.
+    The filters under t hold the phrases known as frequent, or as suspects, before step t. Words are
+    counted in the first cycle. A longer phrase is active in the cycle that begins with the first step
+    whose filter holds both its ends as frequent: it is counted by hash alone, to see whether it is
+    frequent in a shard. Once it is active and a suspect, it is counted under its name for the cycle that begins then.
     """
     w = words_of(text, SPLIT)
     n = len(w.start)
@@ -91,59 +93,65 @@ def count_slice(lang: pa.Array, text: pa.Array, step: int, filters: list[np.ndar
     piece = np.concatenate(([0], np.cumsum(BREAK[w.data])))[w.start]
     number, names, word_h = _vocabulary(w)
     tongue = lang.dictionary_encode()
-    of_row = tongue.indices.to_numpy()
-    of_word = of_row[row].astype(np.int64)
+    of_word = tongue.indices.to_numpy()[row].astype(np.int64)
     tongue_h = np.array([hash_of(t) for t in tongue.dictionary.to_pylist()], np.uint64)
     near = np.zeros(n, bool)  # the next word is in the same piece
     near[:-1] = (row[1:] == row[:-1]) & (piece[1:] == piece[:-1])
-    window = list(range(max(0, step - SHARDS + 1), step + 1))
     gone = step - SHARDS
 
-    at = np.arange(n)  # words at which a phrase of k words begins that may be frequent
+    at = np.arange(n)  # words at which a phrase of k words begins whose ends are frequent
     key = of_word * len(names) + number
-    h_of = None
     for k in range(1, LONGEST + 1):
         distinct, first, dense, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
         begin = at[first]
         if k == 1:
-            h_of = mix(word_h[number[begin]] + tongue_h[of_word[begin]])
-            since = np.zeros(len(distinct), np.int64)
-            due = np.full(len(distinct), step < SHARDS)
+            h = mix(word_h[number[begin]] + tongue_h[of_word[begin]])
+            since = np.full(len(distinct), 0 if step < SHARDS else -1)
+            detect = np.zeros(len(distinct), bool)
         else:
-            h_of = mix(head_h[first] * np.uint64(0xD6E8FEB86659FD93) + mix(word_h[number[begin + k - 1]] + np.uint64(k)))
-            since, due = start[first], ~closed[first]
-        if due.any():
-            own = np.flatnonzero(due)
-            yield pa.record_batch(
-                {
-                    "lang": tongue.dictionary.take(pa.array(of_word[begin[own]])).cast(pa.string()),
-                    "phrase": _joined(names, begin[own], number, k).cast(pa.string()),
-                    "h": h_of[own].view(np.int64), "len": np.full(len(own), k, np.int32),
-                    "since": since[own].astype(np.int32), "c": count[own].astype(np.int64),
-                }
-            )
+            h = mix(head_h[first] * np.uint64(0xD6E8FEB86659FD93) + mix(word_h[number[begin + k - 1]] + np.uint64(k)))
+            since = first_step(suspect, h, step)
+            detect = (since < 0) & (active[first] > gone)
+            since = np.where(since < 0, -1, np.maximum(since, active[first]))  # not before both ends are frequent
+            since[since <= gone] = -1
+        for own, named in ((np.flatnonzero(since >= 0), True), (np.flatnonzero(detect), False)):
+            if len(own):
+                yield pa.record_batch(
+                    {
+                        "lang": tongue.dictionary.take(pa.array(of_word[begin[own]])).cast(pa.string()) if named else pa.nulls(len(own), pa.string()),
+                        "phrase": _joined(names, begin[own], number, k).cast(pa.string()) if named else pa.nulls(len(own), pa.string()),
+                        "h": h[own].view(np.int64), "len": np.full(len(own), k, np.int32),
+                        "since": since[own].astype(np.int32), "c": count[own].astype(np.int64),
+                    }
+                )
         if k == LONGEST:
             break
-        # Which of these phrases each filter holds: a longer one needs both its ends in it.
-        known = {t: holds(filters[t], h_of)[dense] for t in ([gone] if gone >= 0 else []) + window}
+        known = first_step(frequent, h, step)[dense]
         place = np.full(n + 1, -1, np.int64)
         place[at] = np.arange(len(at))
         ahead = place[at + 1]
-        both = (ahead >= 0) & near[at + k - 1] & known[step]
-        both[both] &= known[step][ahead[both]]
+        both = (ahead >= 0) & near[at + k - 1] & (known >= 0)
+        both[both] &= known[ahead[both]] >= 0
         left, right = np.flatnonzero(both), ahead[both]
         if not len(left):
             return
-        start, closed = np.full(len(left), step), np.zeros(len(left), bool)
-        for t in reversed(window[:-1]):
-            start[known[t][left] & known[t][right]] = t
-        if gone >= 0:
-            closed = known[gone][left] & known[gone][right]
-        head_h = h_of[dense[left]]
+        active = np.maximum(known[left], known[right])  # since this step
+        head_h = h[dense[left]]
         key = dense[left].astype(np.int64) * (len(names) + 1) + number[at[left] + k]
         at = at[left]
 
 
+def first_step(filters: dict[int, np.ndarray], h: np.ndarray, step: int) -> np.ndarray:
+    """First step whose filter holds each hash, or -1; steps before the last cycle are not told apart."""
+    since = np.full(len(h), -1, np.int64)
+    rest = np.flatnonzero(holds(filters[step], h))
+    since[rest] = step
+    for t in range(step - 1, max(-1, step - SHARDS - 1), -1):
+        rest = rest[holds(filters[t], h[rest])]
+        since[rest] = t
+    return since
+
+
 def hash_of(name: str) -> int:
     """Hash of a language's name, equal in every task."""
     out = 0xCBF29CE484222325
@@ -152,15 +160,16 @@ def hash_of(name: str) -> int:
     return out
 
 
-def counted(shard: DataFrame, step: int, filters: list[np.ndarray]) -> DataFrame:
-    """Counts (COUNTS) of the active phrases of a shard, by slice."""
-    sent = shard.sparkSession.sparkContext.broadcast({t: filters[t] for t in range(max(0, step - SHARDS), step + 1)})
+def counted(shard: DataFrame, step: int, frequent: list[np.ndarray], suspect: list[np.ndarray]) -> DataFrame:
+    """Counts (COUNTS) of the active phrases of a shard, by slice; phrases that are no suspects have no name."""
+    cycle = range(max(0, step - SHARDS), step + 1)
+    sent = shard.sparkSession.sparkContext.broadcast(({t: frequent[t] for t in cycle}, {t: suspect[t] for t in cycle}))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lang, text, at = batch.column("lang"), batch.column("text"), 0
             for piece in pieces(text, SLICE):
-                yield from count_slice(lang.slice(at, len(piece)), piece, step, sent.value)
+                yield from count_slice(lang.slice(at, len(piece)), piece, step, *sent.value)
                 at += len(piece)
 
     return shard.select("lang", "text").mapInArrow(run, COUNTS)
@@ -170,11 +179,14 @@ def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int
     """Frequent phrases (lang, phrase, len, f) of 1 to LONGEST words, and words per language (lang, n).
 
     The corpus is written once, dealt at random into SHARDS shards. Step t scans shard t mod SHARDS and
-    counts all lengths that are active there. After each step the phrases that have reached `least` so far
-    enter the filter; a phrase of k + 1 words becomes active once both its parts of k words are in it, and
-    is done after one full cycle. The scans end when nothing is active. Parts occur at least as often as
-    the whole, so every phrase with `least` occurrences is counted, over all shards. A filter answers yes
-    too often at times, so that some rare phrases are counted in vain; it changes no result. Its size
+    counts all lengths that are active there. Phrases that have reached `least` so far enter the filter of
+    frequent ones after each step; a phrase of k + 1 words becomes active once both its parts of k words
+    are in it. Most active phrases are rare, and their names and sums would outgrow the corpus; so an active
+    phrase is first counted by its hash within the shard. One with `least` occurrences has least / SHARDS
+    in one of the shards of its cycle at least; there it becomes a suspect, and is counted by name for the
+    full cycle from the next step on. The scans end when nothing is active. Parts occur at least as often
+    as the whole, so every phrase with `least` occurrences is counted, over all shards. A filter answers
+    yes too often at times, so that some rare phrases are counted in vain; it changes no result. Its size
     follows the size of the texts and ends at 64 MB; a corpus that fills it counts more phrases in vain.
     """
     spark = docs.sparkSession
@@ -184,23 +196,26 @@ def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int
     shards = spark.read.schema("lang string, text string, shard int").parquet(path)
     size = shards.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(LEAST_BITS, min(MOST_BITS, 1 << (size // 8).bit_length()))
-    filters = [np.zeros(bits // 64, np.uint64)]
+    frequent, suspect = [np.zeros(bits // 64, np.uint64)], [np.zeros(bits // 64, np.uint64)]
     tables: list[DataFrame] = []
     step = 0
-    while step < SHARDS or (filters[step] != filters[step - SHARDS]).any():
-        rows = counted(shards.where(F.col("shard") == step % SHARDS), step, filters)
+    while step < SHARDS or any((f[step] != f[step - SHARDS]).any() for f in (frequent, suspect)):
+        rows = counted(shards.where(F.col("shard") == step % SHARDS), step, frequent, suspect)
         if step:
-            rows = rows.union(tables[-1].where(F.col("since") + SHARDS > step))
+            rows = rows.union(tables[-1].where((F.col("since") >= 0) & (F.col("since") + SHARDS > step)))
         total = rows.groupBy("lang", "phrase", "h", "len", "since").agg(F.sum("c").alias("c"))
-        tables.append(materialise(total, "phrases"))
-        filters.append(filled(filters[step], tables[-1].where((F.col("c") >= least) & (F.col("len") < LONGEST)).select("h")))
+        tables.append(materialise(total.where((F.col("since") >= 0) | (F.col("c") >= -(-least // SHARDS))), "phrases"))
+        which = F.when(F.col("since") < 0, 1).when((F.col("c") >= least) & (F.col("len") < LONGEST), 0)
+        more = filled([frequent[step], suspect[step]], tables[-1].select("h", which.alias("filter")).where("filter is not null"))
+        frequent.append(more[0])
+        suspect.append(more[1])
         if step >= SHARDS:
-            filters[step - SHARDS] = None  # no later scan asks it
+            frequent[step - SHARDS] = suspect[step - SHARDS] = None  # no later scan asks them
         step += 1
-    done = [t.where((F.col("since") + SHARDS - 1 == i) & (F.col("c") >= least)) for i, t in enumerate(tables)]
-    frequent = reduce(DataFrame.union, done).select("lang", "phrase", "len", F.col("c").alias("f"))
+    done = [t.where((F.col("since") >= 0) & (F.col("since") + SHARDS - 1 == i) & (F.col("c") >= least)) for i, t in enumerate(tables)]
+    whole = reduce(DataFrame.union, done).select("lang", "phrase", "len", F.col("c").alias("f"))
     words = tables[SHARDS - 1].where("len = 1").groupBy("lang").agg(F.sum("c").alias("n"))
-    return materialise(frequent, "frequent"), words
+    return materialise(whole, "frequent"), words
 
 
 def part(words: Column, first: int | Column, n: int | Column) -> Column:
