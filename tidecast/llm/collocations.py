@@ -8,6 +8,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from .common import Words, mix, pieces, table, word_hashes, words_of
 
 LONGEST = 4  # words of a phrase
 LEAST = 30  # occurrences of a candidate
-SHARDS = 4  # scans of a cycle
+SHARDS = 6  # scans of a cycle
 COVERED = 80  # percent of a phrase's occurrences that a longer one must have to replace it
 TOP = 2000  # phrases of a language in the report
 SLICE = 8 << 20  # text that one counting step works on
@@ -44,7 +45,7 @@ def holds(slots: np.ndarray, h: np.ndarray) -> np.ndarray:
     return found.astype(bool).all(axis=0)
 
 
-def filled(filters: list[np.ndarray], known: DataFrame) -> list[np.ndarray]:
+def filled(filters: tuple[np.ndarray, ...], known: DataFrame) -> list[np.ndarray]:
     """The filters with the phrases of `known` (h: long, filter: its number) added; bits are united on the executors."""
     bits = len(filters[0]) * 64
     low, high = F.col("h").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("h", 32).bitwiseOR(F.lit(1).cast("long"))
@@ -77,12 +78,12 @@ def _vocabulary(w: Words) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     return number, coded.dictionary, word_hashes(w)[first]
 
 
-def count_slice(lang: pa.Array, text: pa.Array, step: int, frequent: dict[int, np.ndarray], suspect: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+def count_slice(lang: pa.Array, text: pa.Array, step: int, filters: dict[int, tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
     """Occurrences of what is active in one slice of a shard.
 
-    The filters under t hold the phrases known as frequent, or as suspects, before step t. Words are
-    counted in the first cycle. A longer phrase is active in the cycle that begins with the first step
-    whose filter holds both its ends as frequent: it is counted by hash alone, to see whether it is
+    The filters under t hold the phrases known as frequent, or as suspects, before step t. Words are active
+    in the first cycle, a longer phrase in the cycle that begins with the first step whose filter holds
+    both its ends as frequent: it is counted by hash alone, to see whether it is
     frequent in a shard. Once it is active and a suspect, it is counted under its name for the cycle that begins then.
     """
     w = words_of(text, SPLIT)
@@ -98,22 +99,24 @@ def count_slice(lang: pa.Array, text: pa.Array, step: int, frequent: dict[int, n
     near = np.zeros(n, bool)  # the next word is in the same piece
     near[:-1] = (row[1:] == row[:-1]) & (piece[1:] == piece[:-1])
     gone = step - SHARDS
+    if gone < 0:
+        words = np.bincount(of_word, minlength=len(tongue_h))
+        none = np.zeros(len(words), np.int64)
+        yield pa.record_batch({"lang": tongue.dictionary.cast(pa.string()), "phrase": pa.nulls(len(words), pa.string()), "h": none, "len": none.astype(np.int32), "since": none.astype(np.int32), "c": words})
+    frequent, suspect = ({t: f[i] for t, f in filters.items()} for i in (0, 1))
 
+    active = np.zeros(n, np.int64)  # since this step
     at = np.arange(n)  # words at which a phrase of k words begins whose ends are frequent
     key = of_word * len(names) + number
     for k in range(1, LONGEST + 1):
         distinct, first, dense, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
         begin = at[first]
-        if k == 1:
-            h = mix(word_h[number[begin]] + tongue_h[of_word[begin]])
-            since = np.full(len(distinct), 0 if step < SHARDS else -1)
-            detect = np.zeros(len(distinct), bool)
-        else:
-            h = mix(head_h[first] * np.uint64(0xD6E8FEB86659FD93) + mix(word_h[number[begin + k - 1]] + np.uint64(k)))
-            since = first_step(suspect, h, step)
-            detect = (since < 0) & (active[first] > gone)
-            since = np.where(since < 0, -1, np.maximum(since, active[first]))  # not before both ends are frequent
-            since[since <= gone] = -1
+        tail = mix(word_h[number[begin + k - 1]] + np.uint64(k))
+        h = mix((tongue_h[of_word[begin]] if k == 1 else head_h[first]) * np.uint64(0xD6E8FEB86659FD93) + tail)
+        since = first_step(suspect, h, step)
+        detect = (since < 0) & (active[first] > gone)
+        since = np.where(since < 0, -1, np.maximum(since, active[first]))  # not before both ends are frequent
+        since[since <= gone] = -1
         for own, named in ((np.flatnonzero(since >= 0), True), (np.flatnonzero(detect), False)):
             if len(own):
                 yield pa.record_batch(
@@ -127,6 +130,7 @@ def count_slice(lang: pa.Array, text: pa.Array, step: int, frequent: dict[int, n
         if k == LONGEST:
             break
         known = first_step(frequent, h, step)[dense]
+        known = np.where(known < 0, -1, np.maximum(known, active))  # a part counts from when its own parts do
         place = np.full(n + 1, -1, np.int64)
         place[at] = np.arange(len(at))
         ahead = place[at + 1]
@@ -135,7 +139,7 @@ def count_slice(lang: pa.Array, text: pa.Array, step: int, frequent: dict[int, n
         left, right = np.flatnonzero(both), ahead[both]
         if not len(left):
             return
-        active = np.maximum(known[left], known[right])  # since this step
+        active = np.maximum(known[left], known[right])
         head_h = h[dense[left]]
         key = dense[left].astype(np.int64) * (len(names) + 1) + number[at[left] + k]
         at = at[left]
@@ -160,16 +164,15 @@ def hash_of(name: str) -> int:
     return out
 
 
-def counted(shard: DataFrame, step: int, frequent: list[np.ndarray], suspect: list[np.ndarray]) -> DataFrame:
+def counted(shard: DataFrame, step: int, sent: dict[int, Broadcast]) -> DataFrame:
     """Counts (COUNTS) of the active phrases of a shard, by slice; phrases that are no suspects have no name."""
-    cycle = range(max(0, step - SHARDS), step + 1)
-    sent = shard.sparkSession.sparkContext.broadcast(({t: frequent[t] for t in cycle}, {t: suspect[t] for t in cycle}))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filters = {t: b.value for t, b in sent.items()}
         for batch in batches:
             lang, text, at = batch.column("lang"), batch.column("text"), 0
             for piece in pieces(text, SLICE):
-                yield from count_slice(lang.slice(at, len(piece)), piece, step, *sent.value)
+                yield from count_slice(lang.slice(at, len(piece)), piece, step, filters)
                 at += len(piece)
 
     return shard.select("lang", "text").mapInArrow(run, COUNTS)
@@ -179,7 +182,7 @@ def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int
     """Frequent phrases (lang, phrase, len, f) of 1 to LONGEST words, and words per language (lang, n).
 
     The corpus is written once, dealt at random into SHARDS shards. Step t scans shard t mod SHARDS and
-    counts all lengths that are active there. Phrases that have reached `least` so far enter the filter of
+    counts all lengths that are active there, words from the first step on. Phrases that have reached `least` so far enter the filter of
     frequent ones after each step; a phrase of k + 1 words becomes active once both its parts of k words
     are in it. Most active phrases are rare, and their names and sums would outgrow the corpus; so an active
     phrase is first counted by its hash within the shard. One with `least` occurrences has least / SHARDS
@@ -195,26 +198,29 @@ def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int
     plain.where("length(text) > 0").write.partitionBy("shard").option("compression", "zstd").parquet(path)
     shards = spark.read.schema("lang string, text string, shard int").parquet(path)
     size = shards.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(LEAST_BITS, min(MOST_BITS, 1 << (size // 8).bit_length()))
-    frequent, suspect = [np.zeros(bits // 64, np.uint64)], [np.zeros(bits // 64, np.uint64)]
+    bits = max(LEAST_BITS, min(MOST_BITS, 1 << (size // 32).bit_length()))
+    filters = [(np.zeros(bits // 64, np.uint64), np.zeros(bits // 64, np.uint64))]  # frequent, suspects
+    sent: dict[int, Broadcast] = {}
     tables: list[DataFrame] = []
     step = 0
-    while step < SHARDS or any((f[step] != f[step - SHARDS]).any() for f in (frequent, suspect)):
-        rows = counted(shards.where(F.col("shard") == step % SHARDS), step, frequent, suspect)
+    while step < SHARDS or any((new != old).any() for new, old in zip(filters[step], filters[step - SHARDS])):
+        sent[step] = spark.sparkContext.broadcast(filters[step])
+        rows = counted(shards.where(F.col("shard") == step % SHARDS), step, sent)
         if step:
             rows = rows.union(tables[-1].where((F.col("since") >= 0) & (F.col("since") + SHARDS > step)))
         total = rows.groupBy("lang", "phrase", "h", "len", "since").agg(F.sum("c").alias("c"))
         tables.append(materialise(total.where((F.col("since") >= 0) | (F.col("c") >= -(-least // SHARDS))), "phrases"))
-        which = F.when(F.col("since") < 0, 1).when((F.col("c") >= least) & (F.col("len") < LONGEST), 0)
-        more = filled([frequent[step], suspect[step]], tables[-1].select("h", which.alias("filter")).where("filter is not null"))
-        frequent.append(more[0])
-        suspect.append(more[1])
-        if step >= SHARDS:
-            frequent[step - SHARDS] = suspect[step - SHARDS] = None  # no later scan asks them
+        which = F.when(F.col("since") < 0, 1).when((F.col("c") >= least) & F.col("len").between(1, LONGEST - 1), 0)
+        filters.append(tuple(filled(filters[step], tables[-1].select("h", which.alias("filter")).where("filter is not null"))))
+        if step >= SHARDS:  # no later scan asks for these
+            sent.pop(step - SHARDS).destroy()
+            filters[step - SHARDS] = ()
         step += 1
-    done = [t.where((F.col("since") >= 0) & (F.col("since") + SHARDS - 1 == i) & (F.col("c") >= least)) for i, t in enumerate(tables)]
+    for b in sent.values():
+        b.destroy()
+    done = [t.where((F.col("since") >= 0) & (F.col("since") + SHARDS - 1 == i) & (F.col("c") >= least) & (F.col("len") > 0)) for i, t in enumerate(tables)]
     whole = reduce(DataFrame.union, done).select("lang", "phrase", "len", F.col("c").alias("f"))
-    words = tables[SHARDS - 1].where("len = 1").groupBy("lang").agg(F.sum("c").alias("n"))
+    words = tables[SHARDS - 1].where("len = 0").select("lang", F.col("c").alias("n"))
     return materialise(whole, "frequent"), words
 
 
