@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 
 from tidecast.session import fresh_path, materialise
 
-from .common import Words, mix, pieces, table, word_hashes, words_of
+from .common import Words, mix, pieces, table, text_bytes, word_hashes, words_of
 
 LONGEST = 4  # words of a phrase
 LEAST = 30  # occurrences of a candidate
 SHARDS = 6  # scans of a cycle
 COVERED = 80  # percent of a phrase's occurrences that a longer one must have to replace it
 TOP = 2000  # phrases of a language in the report
-SLICE = 8 << 20  # text that one counting step works on
+SLICE = 4 << 20  # text that one counting step works on
 PROBES = 4  # bits of a phrase in a filter
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 29  # of a filter: 128 KB to 64 MB
 COUNTS = "lang string, phrase string, h long, len int, since int, c long"
@@ -32,17 +32,17 @@ BREAK[[ord(c) for c in ".,;:!?\n\v\f\r"]] = True
 SPLIT |= BREAK
 
 
-def probes(h: np.ndarray, bits: int) -> np.ndarray:
-    """Positions of hashes in a filter of `bits` bits (a power of two), a row per probe."""
-    low, high = h & np.uint64(0xFFFFFFFF), (h >> np.uint64(32)) | np.uint64(1)
-    return np.stack([(low + np.uint64(i) * high) & np.uint64(bits - 1) for i in range(PROBES)])
-
-
 def holds(slots: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Which hashes a filter (bits in longs) may hold; never misses one that it holds."""
-    at = probes(h, len(slots) * 64)
-    found = (slots[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)
-    return found.astype(bool).all(axis=0)
+    """Which hashes a filter (bits in longs, a power of two) may hold; never misses one that it holds."""
+    found = np.zeros(len(h), bool)
+    rest = np.arange(len(h))
+    for i in range(PROBES):
+        own = h[rest]
+        at = ((own & np.uint64(0xFFFFFFFF)) + np.uint64(i) * ((own >> np.uint64(32)) | np.uint64(1))) & np.uint64(len(slots) * 64 - 1)
+        bit = (slots[(at >> np.uint64(6)).view(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)
+        rest = rest[bit.astype(bool)]
+    found[rest] = True
+    return found
 
 
 def filled(filters: tuple[np.ndarray, ...], known: DataFrame) -> list[np.ndarray]:
@@ -67,15 +67,26 @@ def _joined(names: pa.Array, at: np.ndarray, words: np.ndarray, k: int) -> pa.Ar
 
 def _vocabulary(w: Words) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """Number of each word among the distinct ones, the distinct words and their hashes."""
-    size = w.end - w.start
-    ends = np.cumsum(size)
-    data = w.data[np.repeat(w.start - (ends - size), size) + np.arange(int(size.sum()))]
-    offsets = np.concatenate(([0], ends)).astype(np.int64)
-    words = pa.Array.from_buffers(pa.large_string(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    offsets = np.concatenate(([0], np.cumsum(w.end - w.start)))
+    words = pa.Array.from_buffers(pa.large_string(), len(w.start), [None, pa.py_buffer(offsets), pa.py_buffer(w.data[~SPLIT[w.data]])])
     coded = words.dictionary_encode()
-    number = coded.indices.to_numpy()
-    _, first = np.unique(number, return_index=True)
-    return number, coded.dictionary, word_hashes(w)[first]
+    data, at = text_bytes(coded.dictionary)
+    return coded.indices.to_numpy(), coded.dictionary, word_hashes(Words(data, at[:-1], at[1:], np.array([0, len(at) - 1])))
+
+
+def _distinct(key: np.ndarray, values: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First place of each distinct key, the number of each key among them, and their counts; keys are below `values`."""
+    if values > 4 * len(key):
+        _, first, dense, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+        return first, dense, count
+    count = np.bincount(key, minlength=values)
+    own = np.flatnonzero(count)
+    number = np.zeros(values, np.int64)
+    number[own] = np.arange(len(own))
+    dense = number[key]
+    first = np.zeros(len(own), np.int64)
+    first[dense[::-1]] = np.arange(len(key))[::-1]
+    return first, dense, count[own]
 
 
 def count_slice(lang: pa.Array, text: pa.Array, step: int, filters: dict[int, tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
@@ -83,8 +94,8 @@ def count_slice(lang: pa.Array, text: pa.Array, step: int, filters: dict[int, tu
 
     The filters under t hold the phrases known as frequent, or as suspects, before step t. Words are active
     in the first cycle, a longer phrase in the cycle that begins with the first step whose filter holds
-    both its ends as frequent: it is counted by hash alone, to see whether it is
-    frequent in a shard. Once it is active and a suspect, it is counted under its name for the cycle that begins then.
+    both its ends as frequent: it is counted by hash alone, to see whether it is frequent in a shard. Once it
+    is active and a suspect, it is counted under its name for the cycle that begins then.
     """
     w = words_of(text, SPLIT)
     n = len(w.start)
@@ -105,14 +116,22 @@ def count_slice(lang: pa.Array, text: pa.Array, step: int, filters: dict[int, tu
         yield pa.record_batch({"lang": tongue.dictionary.cast(pa.string()), "phrase": pa.nulls(len(words), pa.string()), "h": none, "len": none.astype(np.int32), "since": none.astype(np.int32), "c": words})
     frequent, suspect = ({t: f[i] for t, f in filters.items()} for i in (0, 1))
 
+    tail = [mix(word_h + np.uint64(k)) for k in range(LONGEST + 1)]
     active = np.zeros(n, np.int64)  # since this step
     at = np.arange(n)  # words at which a phrase of k words begins whose ends are frequent
-    key = of_word * len(names) + number
+    key, values = of_word * len(names) + number, len(tongue_h) * len(names)
+    head = tongue_h[of_word]
     for k in range(1, LONGEST + 1):
-        distinct, first, dense, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-        begin = at[first]
-        tail = mix(word_h[number[begin + k - 1]] + np.uint64(k))
-        h = mix((tongue_h[of_word[begin]] if k == 1 else head_h[first]) * np.uint64(0xD6E8FEB86659FD93) + tail)
+        own_h = mix(head * np.uint64(0xD6E8FEB86659FD93) + tail[k][number[at + k - 1]])
+        if gone >= 0 and k > 1:  # most phrases are done and no part of a longer one
+            keep = (active > gone) | holds(suspect[step], own_h)
+            if k < LONGEST:
+                keep |= holds(frequent[step], own_h)
+            active, at, key, own_h = active[keep], at[keep], key[keep], own_h[keep]
+            if not len(at):
+                return
+        first, dense, count = _distinct(key, values)
+        begin, h = at[first], own_h[first]
         since = first_step(suspect, h, step)
         detect = (since < 0) & (active[first] > gone)
         since = np.where(since < 0, -1, np.maximum(since, active[first]))  # not before both ends are frequent
@@ -140,8 +159,8 @@ def count_slice(lang: pa.Array, text: pa.Array, step: int, filters: dict[int, tu
         if not len(left):
             return
         active = np.maximum(known[left], known[right])
-        head_h = h[dense[left]]
-        key = dense[left].astype(np.int64) * (len(names) + 1) + number[at[left] + k]
+        head = own_h[left]
+        key, values = dense[left].astype(np.int64) * len(names) + number[at[left] + k], len(first) * len(names)
         at = at[left]
 
 
