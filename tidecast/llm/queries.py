@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chaining, collocations, decontaminate, itq, licenses, mixing, preference, secrets, simhash, toxicity, url_filter, warc
+from . import chaining, collocations, decontaminate, itq, licenses, mixing, preference, secrets, simhash, toxicity, turn_repair, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_preference": preference.op8_preference,
     "op9_itq": itq.op9_itq,
     "op10_secrets": secrets.op10_secrets,
+    "op11_turn_repair": turn_repair.op11_turn_repair,
     "op12_collocations": collocations.op12_collocations,
     "op13_licenses": licenses.op13_licenses,
 }
@@ -28,6 +29,7 @@ SQL: dict[str, str] = {
     "op4_mixing": mixing.SQL,
     "op8_preference": preference.SQL,
     "op10_secrets": secrets.SQL,
+    "op11_turn_repair": turn_repair.SQL,
     "op12_collocations": collocations.SQL,
     "op13_licenses": licenses.SQL,
 }
