@@ -21,14 +21,6 @@ def test_parameters():
     assert TR.parameters("")["n_estimators"] == 300
 
 
-@pytest.mark.parametrize(
-    "losses, patience, want",
-    [([3, 2, 1], 2, 3), ([3, 2, 4, 5, 1], 2, 2), ([3, 2, 4, 1, 5], 2, 4), ([1, 2, 3], 20, 1)],
-)
-def test_best_round(losses, patience, want):
-    assert TR.best_round(losses, patience) == want
-
-
 def test_row_stats_skip_nulls(spark):
     df = spark.createDataFrame([(1.0, 2.0, None), (None, None, 4.0), (1.0, 2.0, 6.0)], "a double, b double, c double")
     mean, dev = FT.row_stats(["a", "b", "c"])

@@ -188,7 +188,7 @@ def prepare(labelled: DataFrame, fit_scope: str = "all") -> DataFrame:
 def _promote(spark, cfg: Config, model, judged: DataFrame, ranking: DataFrame, fingerprint: str, now: str) -> None:
     """Model and ranking go to a path of their own; the history row is the commit."""
     base = f"{cfg.root}/champion/{cfg.run_id}"
-    model.write().overwrite().save(f"{base}/model")
+    model.save(spark, f"{base}/model")
     TB.write_json(ranking.coalesce(1), f"{base}/importance")
     row = judged.withColumns(
         {

@@ -1,4 +1,4 @@
-"""Boosted trees on MLlib: parameters, early stopping, importance, scoring."""
+"""Boosted trees: parameters, training of one or many models, importance, scoring."""
 
 from __future__ import annotations
 
@@ -6,13 +6,12 @@ import json
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidecast import schemas as S
 from tidecast.functions import money as M
+from tidecast.operators import boosting as B
 from tidecast.operators import features as FT
 
 # Default parameters and the parameters that arrive as text.
@@ -31,7 +30,6 @@ WHOLE = {"n_estimators", "max_depth", "min_child_weight", "random_state", "early
 KEY = ["cliente_id", "data_referencia"]
 VERSION_PREFIX = "gbt-saldo-v1-"
 TOP_FEATURES = 10
-LAYOUT = 32  # partitions of the training rows; more for more data, but the same for runs to be compared
 
 
 def parameters(given: Mapping[str, Any] | str | None = None) -> dict[str, Any]:
@@ -47,68 +45,37 @@ def parameters(given: Mapping[str, Any] | str | None = None) -> dict[str, Any]:
     return out
 
 
-def regressor(p: Mapping[str, Any], trees: int) -> GBTRegressor:
-    """Regularisation penalties of other learners have no counterpart here."""
-    return GBTRegressor(
-        labelCol=S.LABEL,
-        featuresCol="features",
-        maxIter=trees,
-        maxDepth=p["max_depth"],
-        stepSize=p["learning_rate"],
-        subsamplingRate=p["subsample"],
-        featureSubsetStrategy=str(p["colsample_bytree"]),
-        minInstancesPerNode=p["min_child_weight"],
-        minInfoGain=p["gamma"],
-        seed=p["random_state"],
-    )
+def assemble(prepared: DataFrame) -> DataFrame:
+    """Features in one array; a scaled column that is still missing counts as 0, its mean."""
+    x = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in FT.feature_columns()])
+    return prepared.withColumn("features", x)
 
 
-def best_round(losses: list[float], patience: int) -> int:
-    """Number of trees up to the best loss that ``patience`` later rounds did not beat."""
-    best, at = float("inf"), 0
-    for i, loss in enumerate(losses, start=1):
-        if loss < best:
-            best, at = loss, i
-        elif i - at >= patience:
-            break
-    return max(at, 1)
+def laid_out(rows: DataFrame, validation: DataFrame, model: Column) -> DataFrame:
+    """Rows as the learner reads them; the hash of a row's key decides in which subsamples it is."""
+    h = F.xxhash64(*[F.col(k).cast("string") for k in KEY])
 
+    def part(df: DataFrame, held: bool) -> DataFrame:
+        return df.select(model.alias("model"), h.alias("h"), F.col(S.LABEL).cast("double").alias("y"), F.lit(held).alias("held"), F.col("features").alias("x"))
 
-def assemble(prepared: DataFrame) -> DataFrame:
-    """Feature vector; a scaled column that is still missing counts as 0, its mean."""
-    filled = prepared.fillna(0, subset=FT.feature_columns())
-    return VectorAssembler(inputCols=FT.feature_columns(), outputCol="features").transform(filled)
+    return part(rows, False).union(part(validation, True)).where("model is not null and y is not null")
 
 
-def laid_out(rows: DataFrame, partitions: int = LAYOUT) -> DataFrame:
-    """Rows by key hash and in order, since each partition draws its own subsample."""
-    return rows.repartition(partitions, *KEY).sortWithinPartitions(*KEY)
+def train(rows: DataFrame, validation: DataFrame, given: Mapping[str, Any] | str | None = None) -> B.Booster:
+    """One model; rounds end when the validation error has not fallen for the given patience.
 
+    Equal rows give an equal model, bit by bit, however they are stored.
+    """
+    return B.fit(laid_out(rows, validation, F.lit("all")), names(), parameters(given))["all"]
 
-def train(rows: DataFrame, validation: DataFrame, given: Mapping[str, Any] | str | None = None) -> GBTRegressionModel:
-    """Fits all rounds on the training rows, then refits at the best validation round.
 
-    Rows are laid out first, so equal rows give an equal model however they were stored.
+def names() -> list[str]:
+    return [c.removeprefix("x_") for c in FT.feature_columns()]
 
-    MLlib's own stop has no patience, so validation error per round is read
-    from the full model; that list has one number per tree.
-    """
-    p = parameters(given)
-    trees = p["n_estimators"]
-    rows = laid_out(rows)
-    model = regressor(p, trees).fit(rows)
-    if not p["early_stopping_rounds"] or validation.isEmpty():
-        return model
-    losses = model.evaluateEachIteration(validation, "squared")
-    best = best_round(list(losses), p["early_stopping_rounds"])
-    return model if best == trees else regressor(p, best).fit(rows)
-
-
-def importance(model: GBTRegressionModel, spark) -> DataFrame:
-    """One row per feature, most important first; the model has a few dozen."""
-    names = [c.removeprefix("x_") for c in FT.feature_columns()]
-    pairs = list(zip(names, (float(v) for v in model.featureImportances.toArray())))
-    ranked = spark.createDataFrame(pairs, "feature string, importance double")
+
+def importance(model: B.Booster, spark) -> DataFrame:
+    """One row per feature, most important first: its share of the gain of all splits."""
+    ranked = spark.createDataFrame(list(model.importance().items()), "feature string, importance double")
     return ranked.orderBy(F.desc("importance"), "feature")
 
 
@@ -116,13 +83,18 @@ def top_features(ranking: DataFrame, n: int = TOP_FEATURES) -> DataFrame:
     return ranking.orderBy(F.desc("importance"), "feature").limit(n)
 
 
-def score(model: GBTRegressionModel, prepared: DataFrame) -> DataFrame:
+def score(model: B.Booster, prepared: DataFrame) -> DataFrame:
     """Forecast beside the row's own keys: identifiers are never re-attached by position.
 
     ``base_naive`` and ``base_media`` use the raw lags the preparation carried along.
     """
+    return forecast_rows(model.transform(prepared))
+
+
+def forecast_rows(predicted: DataFrame) -> DataFrame:
+    """Keys, forecast, actual, baselines and errors of rows with a ``prediction``."""
     mean, _ = FT.row_stats([f"raw_{c}" for c in S.LAGS])
-    out = model.transform(prepared).select(
+    out = predicted.select(
         "cliente_id",
         "data_referencia",
         F.col("prediction").alias("saldo_predito"),
@@ -150,23 +122,13 @@ def model_version(metrics: Mapping[str, Column] | None = None, prefix: str = VER
 
 def train_per_segment(
     rows: DataFrame, validation: DataFrame, given: Mapping[str, Any] | str | None = None
-) -> dict[str, GBTRegressionModel]:
-    """One model per segment; segments are few, each fit is a distributed job."""
-    segments = sorted(r[0] for r in rows.select("segmento").distinct().collect() if r[0] is not None)
-    own = F.col("segmento")
-    return {s: train(rows.where(own == s), validation.where(own == s), given) for s in segments}
+) -> dict[str, B.Booster]:
+    """One model per segment, all grown in the same jobs."""
+    return B.fit(laid_out(rows, validation, F.col("segmento")), names(), parameters(given))
 
 
-def score_per_segment(
-    models: dict[str, GBTRegressionModel], prepared: DataFrame, otherwise: GBTRegressionModel
-) -> DataFrame:
+def score_per_segment(models: dict[str, B.Booster], prepared: DataFrame, otherwise: B.Booster) -> DataFrame:
     """Every row by the model of its segment; a segment without one, or NULL, by the global model."""
-    own = F.col("segmento")
-    parts = [score(m, prepared.where(own == s)) for s, m in models.items()]
-    parts.append(score(otherwise, prepared.where(~F.coalesce(own.isin(list(models)), F.lit(False)))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
+    own = F.when(F.col("segmento").isin(list(models)), F.concat(F.lit("="), F.col("segmento"))).otherwise("")
+    named = {f"={s}": m for s, m in models.items()} | {"": otherwise}
+    return forecast_rows(prepared.withColumn("prediction", B.forecasts(named, F.coalesce(own, F.lit("")), F.col("features"))))

@@ -7,13 +7,13 @@ Training has the default parameters: number of trees, depth and patience.
 
 from __future__ import annotations
 
-from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidecast import jobs as J
 from tidecast import schemas as S
 from tidecast.functions import scoring as SC
+from tidecast.operators import boosting as B
 from tidecast.operators import features as FT
 from tidecast.operators import label as L
 from tidecast.operators import metrics as MT
@@ -265,6 +265,6 @@ def _(lab: Lab):
 def _(lab: Lab):
     _, _, test, model = prepared(lab)
     path = fresh_path(lab.spark, "champion")
-    model.write().overwrite().save(path)
-    back = TR.score(GBTRegressionModel.load(path), test).select("cliente_id", "data_referencia", F.col("saldo_predito").alias("lido"))
+    model.save(lab.spark, path)
+    back = TR.score(B.Booster.load(lab.spark, path), test).select("cliente_id", "data_referencia", F.col("saldo_predito").alias("lido"))
     return TR.score(model, test).join(back, ["cliente_id", "data_referencia"]).select("cliente_id", day(), (F.col("lido") == F.col("saldo_predito")).alias("igual"))
