@@ -122,3 +122,38 @@ def test_no_python_no_cartesian_in_the_report_plans(lab):
         text = df._jdf.queryExecution().executedPlan().toString()
         for bad in ("Cartesian", "NestedLoop", "ArrowEval", "BatchEvalPython"):
             assert bad not in text
+
+
+def test_metrics_have_the_same_bits_in_any_layout(spark):
+    from tidecast.functions import scoring as SC
+
+    r = random.Random(4)
+    data = [(i % 3, r.gauss(1000, 900), r.gauss(1000, 900)) for i in range(4000)] + [(1, 0.0, 0.0), (2, 0.0, 5.0), (7, 2.5, 2.0), (7, 2.5, 3.0), (8, 1.0, 1.0)]
+    df = spark.createDataFrame(data, "k int, y double, p double")
+    got = []
+    for parts in (1, 3, 17):
+        out = df.orderBy(F.rand(parts)).repartition(parts).groupBy("k").agg(*SC.metric_aggregates("y", "p")).orderBy("k").collect()
+        got.append([tuple(x) for x in out])
+    assert got[0] == got[1] == got[2]
+    y, p = (np.array([x[i] for x in data if x[0] == 0]) for i in (1, 2))
+    m = {n: v for n, v in zip(df.groupBy("k").agg(*SC.metric_aggregates("y", "p")).columns, got[0][0])}
+    assert m["r2"] == pytest.approx(1 - ((y - p) ** 2).sum() / ((y - y.mean()) ** 2).sum(), rel=1e-12)
+    assert m["rmse"] == pytest.approx(np.sqrt(((y - p) ** 2).mean()), rel=1e-13)
+    assert m["smape"] == pytest.approx((abs(y - p) / ((abs(y) + abs(p)) / 2)).mean() * 100, rel=1e-13)
+    assert got[0][3][1:] and [x for x in got[0] if x[0] == 7][0][3] == 0.0  # equal actuals, not met: r2 is 0
+
+
+def test_last_before_over_many_ranges(spark):
+    from tidecast.operators.prefix import last_before
+
+    r = random.Random(6)
+    rows = [(i, r.choice([None, None, None, f"v{i}"])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "t int, v string").repartition(5)
+    got = {x["t"]: x["live"] for x in last_before(df, [F.col("t")], F.col("v"), "live").collect()}
+    want, now = {}, None
+    for t, v in rows:
+        now = v or now
+        want[t] = now
+    assert got == want
+    sparse = spark.createDataFrame([(i, "only" if i == 7 else None) for i in range(500)], "t int, v string")
+    assert {x["live"] for x in last_before(sparse, [F.col("t")], F.col("v"), "live").where("t >= 7").collect()} == {"only"}

@@ -1,4 +1,5 @@
 import datetime as dt
+import itertools
 import time
 
 import pytest
@@ -317,3 +318,39 @@ def test_an_empty_source_leaves_the_panel(spark, lab):
     with pytest.raises(ValueError):
         jobs.build_panel(spark, empty, cfg, "2024-05-31")
     assert IN.read_panel(spark, cfg.panel).count() == lab.panel.count()
+
+
+def test_files_may_come_in_any_order(spark):
+    root = fresh_path(spark, "order")
+    for name, age in (("a", 30), ("b", 40), ("c", 50)):
+        put(spark, root, f"in/{name}.csv", ["cliente_id", "idade", "data_referencia"], f"A,{age},2024-02-29", f"{name},1,2024-02-29")
+        time.sleep(0.05)
+    got = {}
+    for order in itertools.permutations("abc"):
+        path = f"{root}/panel-{''.join(order)}"
+        for i, name in enumerate([*order, order[0]]):  # the first file comes once more
+            keys = [r["key"] for r in ST.list_files(spark, f"{root}/in", "").where(F.col("key").contains(f"/{name}.csv/")).select("key").collect()]
+            assert keys
+            IN.ingest_batch(spark, ST.read_incoming(spark, keys, S.PANEL), path, f"r{i}")
+        got[order] = rows(IN.read_panel(spark, path), "cliente_id", "idade")
+    assert set(map(str, got.values())) == {str([("A", 50), ("a", 1), ("b", 1), ("c", 1)])}
+
+
+def test_readers_see_whole_versions(spark):
+    from tidecast.sinks import snapshots as SN
+
+    path = fresh_path(spark, "versions")
+    assert IN.read_panel(spark, path).count() == 0
+    TB.replace_panel(panel_rows(spark, 5, [1, 2]), path)
+    before = IN.read_panel(spark, path)
+    broken = panel_rows(spark, 9, [1]).withColumn("saldo_m1", F.expr("CASE WHEN saldo_m1 > 3 THEN raise_error('lost') ELSE saldo_m1 END").cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        TB.replace_panel(broken, path)
+    assert IN.read_panel(spark, path).count() == before.count() == 10
+    TB.replace_panel(panel_rows(spark, 7, [3]), path)
+    assert (before.count(), IN.read_panel(spark, path).count()) == (10, 7)
+    IN.merge_into_panel(spark, panel_rows(spark, 2, [4]), path)
+    assert (before.count(), IN.read_panel(spark, path).count()) == (10, 9)
+    TB.replace_panel(panel_rows(spark, 1, [3]), path)
+    assert len(SN.versions(spark, path)) == 3 and SN.retire(spark, path) == 1
+    assert len(SN.versions(spark, path)) == 2 and IN.read_panel(spark, path).count() == 1

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidecast.functions.money import exact_sum
+from tidecast.functions.money import exact_sum, wide_sum
 from tidecast.schemas import METRIC_NAMES
 
 EPS = 1e-9
@@ -30,13 +30,17 @@ def wape_zero(err: Column | str, real: Column | str) -> Column:
 def metric_columns(real: Column | str, pred: Column | str) -> dict[str, Column]:
     """RMSE, MAE, R2, WAPE, SMAPE and MAPE in one pass with map-side combine.
 
+    All sums are exact, so equal rows give equal bits in any layout.
+
     R2 of a constant actual is 1 for a perfect fit and 0 otherwise, and NULL
     below two rows. SMAPE and MAPE skip rows whose denominator is 0.
     """
     y, p = _c(real), _c(pred)
     err = F.abs(y - p)
-    sse = F.sum((y - p) * (y - p))
-    sst = F.var_pop(y) * F.count(y)
+    sse = wide_sum((y - p) * (y - p))
+    # Squares around the mean from sums around 0; equal actuals have none, whatever the last digit says.
+    around = F.greatest(wide_sum(y * y) - wide_sum(y) * wide_sum(y) / F.count(y), F.lit(0.0))
+    sst = F.when(F.min(y) == F.max(y), F.lit(0.0)).otherwise(around)
     half = (F.abs(y) + F.abs(p)) / 2
     return {
         "rmse": F.sqrt(sse / F.count(y)),
@@ -46,8 +50,8 @@ def metric_columns(real: Column | str, pred: Column | str) -> dict[str, Column]:
         .when(sst == 0, F.lit(0.0))
         .otherwise(1 - sse / sst),
         "wape": wape_zero(err, y),
-        "smape": F.coalesce(F.avg(F.when(half > 0, err / half)) * 100, F.lit(0.0)),
-        "mape": F.coalesce(F.avg(F.when(y != 0, err / F.abs(y))) * 100, F.lit(0.0)),
+        "smape": F.coalesce(F.try_divide(wide_sum(F.when(half > 0, err / half)), F.count_if(half > 0)) * 100, F.lit(0.0)),
+        "mape": F.coalesce(F.try_divide(wide_sum(F.when(y != 0, err / F.abs(y))), F.count_if(y != 0)) * 100, F.lit(0.0)),
     }
 
 

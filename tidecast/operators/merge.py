@@ -37,6 +37,22 @@ def upsert(base: DataFrame, batch: DataFrame, key: Sequence[str] = PANEL_KEY) ->
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
+def upsert_newest(base: DataFrame, batch: DataFrame, version: Sequence[str], key: Sequence[str] = PANEL_KEY) -> DataFrame:
+    """Newest version wins: a row of the batch replaces a row of the same key unless that one is newer.
+
+    Both sides hold one row per key. ``version`` are columns compared in order, NULL before all else; of
+    equal versions the batch's row stands, so a repeated batch changes nothing. Batches may come in any
+    order. Only keys and versions of the batch meet the base, which Catalyst need not shuffle for a small batch.
+    """
+    key = list(key)
+    own = batch.select(*key, F.struct(*version).alias("_batch"))
+    met = base.withColumn("_base", F.struct(*version)).join(own, key, "left")
+    newer = F.col("_batch").isNotNull() & (F.col("_base") > F.col("_batch"))
+    kept = met.where(F.col("_batch").isNull() | newer).drop("_base", "_batch")
+    outdated = met.where(newer).select(*key)
+    return kept.unionByName(batch.join(outdated, key, "left_anti"), allowMissingColumns=True)
+
+
 def keep_newest(df: DataFrame, max_rows: int) -> DataFrame:
     """The newest ``max_rows`` rows by date, then by customer id; rows without a date are the oldest.
 

@@ -46,6 +46,24 @@ def running_sum(
     return run.join(offsets, on, "left").withColumn(out, total).select(*df.columns, out)
 
 
+def last_before(df: DataFrame, order_by: Sequence[Column], value: Column, out: str) -> DataFrame:
+    """``out``: the last non-null ``value`` up to and with each row, in a total order of any length.
+
+    Rows are dealt by sampled ranges and stored; a window carries the value inside a range, and one row
+    per range carries it on to the next ones.
+    """
+    dealt = df.withColumn("_v", value).repartitionByRange(*order_by)
+    dealt = materialise(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
+    inside = Window.partitionBy("_range").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
+    run = dealt.withColumn("_run", F.last("_v", ignorenulls=True).over(inside))
+    place = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(order_by)])
+    ends = dealt.groupBy("_range").agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), place)).alias("_end"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    before = materialise(ends.select(F.col("_range").alias("_at"), F.last("_end", ignorenulls=True).over(earlier).alias("_before")), "offsets")
+    met = run.join(before, run["_range"] == before["_at"])
+    return met.withColumn(out, F.coalesce("_run", "_before")).select(*df.columns, out)
+
+
 def first_rows(df: DataFrame, n: Column, order_by: Sequence[Column], keys: Sequence[str] = ()) -> DataFrame:
     """The first ``n`` rows of each key (of all rows without keys) in a total order."""
     numbered = running_sum(df, list(keys), order_by, F.lit(1).cast("bigint"), "_rn")

@@ -157,15 +157,17 @@ def finalise(phases: DataFrame) -> DataFrame:
 
 
 def latency_percentiles(predictions: DataFrame, by: str = "ano") -> DataFrame:
-    """Days from period close to prediction; equal latencies are counted before ranking."""
-    days = (
-        F.unix_timestamp(C.parse_iso("dt_processamento"))
-        - F.unix_timestamp(F.col("data_referencia").cast("timestamp"))
-    ) / F.lit(86400.0)
-    counts = predictions.groupBy(by, days.alias("dias")).agg(F.count(F.lit(1)).alias("n"))
+    """Days from period close to prediction; equal latencies are counted before ranking.
+
+    Whole seconds are ranked, and what lies between two of them is divided last, in whole numbers as
+    long as possible: 20 times the seconds at a rank of twentieths is whole.
+    """
+    seconds = F.unix_timestamp(C.parse_iso("dt_processamento")) - F.unix_timestamp(F.col("data_referencia").cast("timestamp"))
+    counts = predictions.groupBy(by, seconds.alias("s")).agg(F.count(F.lit(1)).alias("n"))
+    at = lambda prob: F.rint(F.expr(f"percentile(s, {prob}D, n)") * 20) / F.lit(20 * 86400.0)
     return counts.groupBy(by).agg(
-        F.expr("percentile(dias, 0.5D, n)").alias("p50_dias"),
-        F.expr("percentile(dias, 0.95D, n)").alias("p95_dias"),
+        at(0.5).alias("p50_dias"),
+        at(0.95).alias("p95_dias"),
         F.sum("n").alias("registros"),
     )
 

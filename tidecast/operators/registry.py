@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tidecast import schemas as S
+from tidecast.operators.prefix import last_before
 
 # Promotion rules and reason words.
 MIN_WAPE_GAIN_PP = 1.0
@@ -161,9 +162,10 @@ def current_champion(metrics: DataFrame) -> DataFrame:
 def champion_as_of(instants: DataFrame, at: str, history: DataFrame) -> DataFrame:
     """Champion live at each instant, without a range join.
 
-    Instants are first made distinct (few, next to the facts), merged with the
-    promotions into one time line, and the last promotion seen is carried
-    forward. Facts then join on equality with the result.
+    Instants are first made distinct, merged with the promotions into one time
+    line, and the last promotion seen is carried forward along sampled ranges of
+    it, so there may be as many instants as facts. Facts then join on equality
+    with the result.
     """
     line = (
         instants.select(F.col(at).alias("t"))
@@ -175,6 +177,6 @@ def champion_as_of(instants: DataFrame, at: str, history: DataFrame) -> DataFram
             )
         )
     )
-    w = Window.orderBy("t", "k").rowsBetween(Window.unboundedPreceding, 0)
-    carried = line.withColumn("champion_run_id", F.last("champion_run_id", ignorenulls=True).over(w))
-    return carried.where("k = 1").select(F.col("t").alias(at), "champion_run_id")
+    order = [F.col("t"), F.col("k"), F.col("champion_run_id")]
+    carried = last_before(line, order, F.col("champion_run_id"), "live")
+    return carried.where("k = 1").select(F.col("t").alias(at), F.col("live").alias("champion_run_id"))

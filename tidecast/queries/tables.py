@@ -486,6 +486,18 @@ def replayed(lab: Lab, files_per_batch):
 LATER = f"(SELECT 1 + count(DISTINCT data_referencia) FROM panel WHERE data_referencia >= DATE '{CUT}')"
 
 
+@query("STR-5-order", sql(f"SELECT {PANEL_SELECT} FROM panel"))
+def _(lab: Lab):
+    """The newer half of the months first, then the older half, and at last an older file with other balances of them all."""
+    root, _ = seeded_panel(lab)
+    keys = sorted(r["key"] for r in ST.list_files(lab.spark, f"{root}/incoming/b").select("key").collect())
+    older = [r["key"] for r in ST.list_files(lab.spark, f"{root}/incoming/a").select("key").collect()]
+    half = len(keys) // 2
+    for i, run in enumerate([keys[half:], keys[:half], older]):
+        IN.ingest_batch(lab.spark, ST.read_incoming(lab.spark, run, S.PANEL), f"{root}/panel", f"r{i}")
+    return panel_text(IN.read_panel(lab.spark, f"{root}/panel"))
+
+
 @query("STR-6", sql(f"SELECT {PANEL_SELECT}, {LATER} AS lotes, {LATER} AS arquivos FROM panel"))
 def _(lab: Lab):
     return replayed(lab, 1)

@@ -57,6 +57,9 @@ PANEL = _schema(
     "is_fim_de_ano int, is_inicio_de_ano int"
 )
 PANEL_COLUMNS = PANEL.fieldNames()
+# Beside each stored panel row: the file it came from and when that was written; NULL is older than any file.
+VERSION = _schema("versao_em timestamp, versao_arquivo string")
+STORED_PANEL = T.StructType([*PANEL.fields, *VERSION.fields])
 LABEL = "saldo_alvo"
 LEGACY_LABEL = "saldo_previsto"
 NEXT_DATE = "_proxima_data"

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tidecast import schemas as S
 from tidecast.functions.recode import safe_int
+from tidecast.sinks import snapshots as SN
 
 
 BATCH = 500  # partitions named in one catalog statement
@@ -58,15 +59,13 @@ def write_metrics(rows: DataFrame, path: str) -> None:
 
 
 def write_panel(df: DataFrame, path: str) -> None:
-    """Panel partitioned by year and month; touched months are replaced."""
-    _partitioned(conform(df, S.PANEL), path, ["ano", "mes"], append=False)
+    """Panel partitioned by year and month; touched months of the current version are replaced."""
+    _partitioned(conform(df, S.STORED_PANEL), SN.current(df.sparkSession, path), ["ano", "mes"], append=False)
 
 
 def replace_panel(df: DataFrame, path: str) -> None:
-    """Reconcile: the whole panel is written anew from its source."""
-    conform(df, S.PANEL).hint("rebalance", "ano", "mes").write.partitionBy("ano", "mes").option(
-        "partitionOverwriteMode", "static"
-    ).mode("overwrite").parquet(path)
+    """Reconcile: the whole panel is written anew from its source, as a version that readers see once it is whole."""
+    SN.publish(conform(df, S.STORED_PANEL), path, ["ano", "mes"])
 
 
 def write_landing(batch: DataFrame, path: str, day: Column, run_id: str) -> None:

@@ -11,6 +11,7 @@ from tidecast.functions import calendar as C
 from tidecast.operators import merge as MG
 from tidecast.session import delete_path, fresh_path, materialise
 from tidecast.sinks import ledger as LG
+from tidecast.sinks import snapshots as SN
 from tidecast.sinks import tables as TB
 from tidecast.sources import tables as ST
 
@@ -18,28 +19,32 @@ FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def read_panel(spark: SparkSession, path: str) -> DataFrame:
-    return ST.read_or_empty(spark, path, S.PANEL)
+    """The current version of the panel; what is read stays that version."""
+    return ST.read_or_empty(spark, SN.current(spark, path), S.PANEL)
 
 
 def merge_into_panel(spark: SparkSession, batch: DataFrame, path: str) -> tuple[int, int]:
-    """Latest wins on (customer, date); rows of the touched months before and after.
+    """Newest version wins on (customer, date); rows of the touched months before and after.
+
+    A row of the batch replaces a stored one only if that is not of a newer file (``versao_em``,
+    ``versao_arquivo``; absent ones are oldest), so files may come in any order and in separate runs.
 
     Only the months the batch touches are read, staged, and overwritten: the
     span of the batch prunes partitions, the semi-join leaves out untouched
     months inside it. A repeated batch gives the same table.
     """
-    batch = TB.conform(batch, S.PANEL)
+    batch = TB.conform(batch, S.STORED_PANEL)
     month = F.col("ano") * 12 + F.col("mes")
     span = batch.agg(F.min(month).alias("lo"), F.max(month).alias("hi")).first()
     if span["lo"] is None:
         return 0, 0
     months = batch.select("ano", "mes").distinct()
-    touched = read_panel(spark, path).where(month.between(span["lo"], span["hi"]))
+    touched = ST.read_or_empty(spark, SN.current(spark, path), S.STORED_PANEL).where(month.between(span["lo"], span["hi"]))
     touched = touched.join(months, ["ano", "mes"], "left_semi")
     before = touched.count()
     stage = fresh_path(spark, "merge")
-    MG.upsert(touched, batch).write.parquet(stage)
-    merged = spark.read.schema(S.PANEL).parquet(stage)
+    MG.upsert_newest(touched, batch, S.VERSION.fieldNames()).write.parquet(stage)
+    merged = spark.read.schema(S.STORED_PANEL).parquet(stage)
     after = merged.count()
     TB.write_panel(merged, path)
     delete_path(spark, stage)
@@ -68,14 +73,18 @@ def ingest_batch(
 ) -> DataFrame:
     """Merge, landing copy, rejected rows and the one-row ingest report.
 
-    Of several rows of a key the one of the newest file wins (``_changed``, ``_file``
-    as ``read_incoming`` brings them; equal ones by the column values). Rows that
+    Of several rows of a key, in this batch and in the panel, the one of the newest file wins
+    (``_changed``, ``_file`` as ``read_incoming`` brings them; equal ones by the column
+    values). Rows that come without a file count as written now. Rows that
     cannot enter the panel are appended to ``rejects`` (by default beside the panel)
     before the merge, so every row of a file is in one of the two.
     """
+    given = set(batch.columns)
     for name, kind in {"_changed": "timestamp", "_file": "string", "_unparsed": "int"}.items():
         if name not in batch.columns:
             batch = batch.withColumn(name, F.lit(0 if kind == "int" else None).cast(kind))
+    if "_changed" not in given:
+        batch = batch.withColumn("_changed", F.lit(spark.sql("SELECT current_timestamp() AS t").first()[0]))
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         refused = batch.where(~usable())
@@ -84,11 +93,12 @@ def ingest_batch(
             LG.append_rows(refused.withColumn("run_id", F.lit(run_id)), rejects or f"{path.rstrip('/')}-rejects")
         version = F.struct("_changed", "_file", *[c for c in batch.columns if c in S.PANEL_COLUMNS])
         newest = dated(MG.newest_version(batch.where(usable()), MG.PANEL_KEY, version))
-        newest = materialise(TB.conform(newest, S.PANEL), "batch")
+        newest = newest.withColumns({"versao_em": F.col("_changed"), "versao_arquivo": F.col("_file")})
+        newest = materialise(TB.conform(newest, S.STORED_PANEL), "batch")
         whole = read_panel(spark, path).count()
         before, after = merge_into_panel(spark, newest, path)
         if landing:
-            TB.write_landing(newest, landing, F.col("data_referencia"), run_id)
+            TB.write_landing(TB.conform(newest, S.PANEL), landing, F.col("data_referencia"), run_id)
         facts = newest.agg(F.count(F.lit(1)).alias("n"), F.max("data_referencia").alias("d")).first()
     finally:
         batch.unpersist()
