@@ -61,6 +61,70 @@ def comparisons(rows: DataFrame, key: list[str], item: str, chunk: int = CHUNK)
     return out.repartition(*key, "part_a", "part_b").sortWithinPartitions(*key, "part_a", "part_b", item)
 
 
+def dealt(rows: DataFrame, bucket: str, item: str) -> DataFrame:
+    """(meeting, item): every two items of a bucket are in some meeting of at most about 2 * CHUNK rows.
+
+    For slim rows in buckets that are mostly small: all rows travel once, whether alone or not. Only a bucket
+    of n > CHUNK rows is cut, by item hash, into ceil(n / CHUNK) parts that meet in pairs. Two meetings under
+    one hash are one larger meeting. The table of hot buckets is stored, so Spark knows its size before it joins.
+    """
+    hot = rows.groupBy(F.col(bucket).alias("hot")).agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("parts")).where("parts > 1")
+    hot = materialise(hot, "hot")
+    met = rows.join(hot, rows[bucket] == hot["hot"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    own = F.pmod(F.xxhash64(item), F.col("parts")).cast("int")
+    met = met.select(bucket, item, own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    out = met.select(F.xxhash64(bucket, F.least("own", "other"), F.greatest("own", "other")).alias("meeting"), item)
+    return out.repartition("meeting").sortWithinPartitions("meeting", item)
+
+
+def close_rows(meeting: np.ndarray, near: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning forest (rows, their smallest reachable rows) of the links within meetings, equal numbers side by side.
+
+    `near` tells which of the given pairs of rows are linked. Rows are compared with the next one of their
+    meeting, then the one after it, until no meeting is that long.
+    """
+    n = len(meeting)
+    edge = np.flatnonzero(np.concatenate((meeting[1:] != meeting[:-1], [True]))) + 1 if n else np.zeros(0, np.int64)
+    end = np.repeat(edge, np.diff(edge, prepend=0))
+    left, right, at, ahead = [], [], np.arange(n), 1
+    while len(at := at[at + ahead < end[at]]):
+        hit = at[near(at, at + ahead)]
+        left.append(hit)
+        right.append(hit + ahead)
+        ahead += 1
+    root = np.arange(n)
+    if left:
+        a, b = np.concatenate(left), np.concatenate(right)
+        while (root[a] != root[b]).any():
+            low = np.minimum(root[a], root[b])
+            np.minimum.at(root, root[a], low)
+            np.minimum.at(root, root[b], low)
+            root = root[root]
+    moved = np.flatnonzero(root != np.arange(n))
+    return moved, root[moved]
+
+
+def per_meeting(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], key: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For mapInArrow over rows sorted by `key`: `fn` sees batches that hold meetings whole."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.RecordBatch | None = None
+        for batch in batches:
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0] if batch.num_rows else held
+            if not batch.num_rows:
+                continue
+            v = batch.column(key).to_numpy()
+            cut = int(np.searchsorted(v, v[-1]))
+            held = batch.slice(cut)
+            if cut and (r := fn(batch.slice(0, cut))) is not None:
+                yield r
+        if held is not None and (r := fn(held)) is not None:
+            yield r
+
+    return run
+
+
 def per_group(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], keys: list[str], least: int = 2) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """For mapInArrow over rows sorted by `keys`: `fn` sees the rows of one group of `least` rows or more at a time."""
 

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from tidecast.session import materialise
 
 from .common import SEPARATOR, Words, pieces, row_hash, shingle_hashes, table, word_hashes, words_of
-from .graph import comparisons, components, forest, per_group
+from .graph import close_rows, comparisons, components, dealt, forest, per_group, per_meeting
 
 WORDS, RADIUS, SEED = 4, 4, 42
-SAME = 3  # blocks that must agree; there are RADIUS + SAME blocks
+SAME = 3  # least number of blocks that must agree; there are RADIUS + SAME blocks then
+CROWD = 32  # prints of a bucket beyond which blocks get wider, were they spread at random
 FINE_WORDS, FINE_RADIUS = 2, 6  # of the fingerprints that propose pairs for `deduplicate`
 SHINGLE, SIMILARITY = 5, 0.8  # what decides there
 COLUMNS = 4096  # shingles of which one step of a comparison counts who holds them
@@ -64,27 +65,34 @@ def block_masks(radius: int, same: int = SAME) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def links(prints: DataFrame, radius: int = RADIUS, same: int = SAME) -> DataFrame:
+def blocks_that_agree(n: int, radius: int) -> int:
+    """Blocks that must agree so that n prints spread at random are at most CROWD to a bucket; at least SAME."""
+    same = SAME
+    while n >> (64 * same // (radius + same)) > CROWD and same < 2 * radius:
+        same += 1
+    return same
+
+
+def links(prints: DataFrame, radius: int = RADIUS, same: int | None = None) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (column print) that differ in at most `radius` bits.
 
     Two such fingerprints agree in at least `same` of radius + same blocks, so they meet in the bucket
-    of one choice of blocks; there the whole fingerprint is compared. The edges are a spanning forest of
-    the links of every comparison, so they are linear in the rows dealt and join exactly the texts that
+    of one choice of blocks; there the whole fingerprint is compared. Any `same` gives the same links; by
+    default blocks get wider as the prints get more, so that buckets stay small. The edges are a spanning
+    forest of the links of every meeting, so they are linear in the rows dealt and join exactly the texts that
     the links join.
     """
-    tables = F.array(*[F.struct(F.lit(i).alias("choice"), F.col("print").bitwiseAND(F.lit(m).cast("long")).alias("bucket")) for i, m in enumerate(block_masks(radius, same))])
+    same = same or blocks_that_agree(prints.count(), radius)
+    buckets = F.array(*[F.xxhash64(F.lit(i), F.col("print").bitwiseAND(F.lit(m).cast("long"))) for i, m in enumerate(block_masks(radius, same))])
     tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a stored table of prints can be one small file
-    rows = prints.repartition(tasks, "print").select("print", F.explode(tables).alias("t")).select("t.choice", "t.bucket", "print")
+    rows = prints.repartition(tasks, "print").select(F.explode(buckets).alias("bucket"), "print")
 
-    def compare(group: pa.RecordBatch) -> pa.RecordBatch | None:
-        p = group.column("print").to_numpy()
-        apart = np.bitwise_count((p[:, None] ^ p[None, :]).view(np.uint64))
-        root = forest(apart <= radius)
-        own = root != np.arange(len(p))
-        return pa.record_batch({"a": p[own], "b": p[root[own]]}) if own.any() else None
+    def compare(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        p = batch.column("print").to_numpy()
+        a, b = close_rows(batch.column("meeting").to_numpy(), lambda x, y: np.bitwise_count((p[x] ^ p[y]).view(np.uint64)) <= radius)
+        return pa.record_batch({"a": p[a], "b": p[b]}) if len(a) else None
 
-    dealt = comparisons(rows, ["choice", "bucket"], "print")
-    return dealt.mapInArrow(per_group(compare, ["choice", "bucket", "part_a", "part_b"]), "a long, b long").distinct()
+    return dealt(rows, "bucket", "print").mapInArrow(per_meeting(compare, "meeting"), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = WORDS, radius: int = RADIUS, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -166,13 +174,14 @@ def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k:
     named = texts.join(roots.withColumnRenamed("node", "print"), "print", "left").select("of", "doc_id", F.coalesce("root", "print").alias("proposed"))
     named = materialise(named, "proposed")
     several = named.groupBy("proposed").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("proposed")
+    several = materialise(several, "several")  # of known size: a hot component stays where its texts are
     wanted = materialise(named.join(several, "proposed").select(F.col("of").alias("want"), F.col("doc_id").alias("want_id"), "proposed"), "wanted")
     source = docs.select(docs[doc_id].alias("doc_id"), content.alias("text")).withColumn("of", F.xxhash64("text"))
     met = source.join(wanted.hint("shuffle_hash"), (F.col("of") == F.col("want")) & F.col("doc_id").eqNullSafe(F.col("want_id")))
     sets = met.select("of", "proposed", shingle_set(F.col("text")).alias("shingles")).groupBy("of").agg(F.any_value("proposed").alias("proposed"), F.any_value("shingles").alias("shingles"))
-    dealt = comparisons(materialise(sets, "shingles"), ["proposed"], "of")
+    met = comparisons(materialise(sets, "shingles"), ["proposed"], "of")
     compare = per_group(lambda g: verified(g, least), ["proposed", "part_a", "part_b"])
-    found = components(materialise(dealt.mapInArrow(compare, "a long, b long").distinct(), "alike"))
+    found = components(materialise(met.mapInArrow(compare, "a long, b long").distinct(), "alike"))
     moved = materialise(found.join(texts, found["node"] == texts["of"]).select("node", "root", "doc_id"), "groups")
     firsts = moved.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("node"))).alias("f")).select("root", F.col("f.node").alias("head"))
     merged = materialise(moved.join(firsts, "root").select("node", "head"), "merged")
