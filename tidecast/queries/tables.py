@@ -518,11 +518,12 @@ def _(lab: Lab):
 
 @query("STR-9", f"""
 SELECT strftime(slot, '%Y-%m-%d %H:%M:%S') AS slot_15m, event_type, n, total,
-       slot + INTERVAL 15 MINUTES > (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 10 MINUTES AS aberto
+       slot + INTERVAL 15 MINUTES > (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 10 MINUTES AS aberto, FALSE AS corrigido
 FROM (SELECT time_bucket(INTERVAL 15 MINUTES, ts) AS slot, event_type, count(*) AS n,
              {money_sum("value")} AS total FROM events GROUP BY 1, 2)""")
 def _(lab: Lab):
     root = fresh_path(lab.spark, "slots")
     stream = SL.event_stream(lab.spark, lab.root, lab.table("events").schema)
-    SL.run_to_table(SL.slot_totals(stream, "event_type", "value"), f"{root}/out", f"{root}/checkpoint")
-    return SL.all_slots(lab.spark, f"{root}/out", lab.events, "event_type", "value").withColumn("slot_15m", stamp("slot_15m", "slot_15m"))
+    SL.drain(stream, f"{root}/out", f"{root}/checkpoint", "event_type", "value")
+    out = SL.slots(lab.spark, f"{root}/out", stream.schema, "event_type").select("slot_15m", "event_type", "n", "total", "aberto", "corrigido")
+    return out.withColumn("slot_15m", stamp("slot_15m", "slot_15m"))
