@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidecast.operators import merge as MG
 from tidecast.operators import panel as P
 from tidecast.operators.prefix import running_sum
-from tidecast.operators.quantiles import exact_quantiles
+from tidecast.operators.quantiles import exact_quantiles, grouped_quantiles
 
 
 def skewed(n=3000, seed=3):
@@ -157,3 +157,17 @@ def test_last_before_over_many_ranges(spark):
     assert got == want
     sparse = spark.createDataFrame([(i, "only" if i == 7 else None) for i in range(500)], "t int, v string")
     assert {x["live"] for x in last_before(sparse, [F.col("t")], F.col("v"), "live").where("t >= 7").collect()} == {"only"}
+
+
+@pytest.mark.parametrize("limit, accuracy", [(500_000, 10_000), (40, 10_000), (40, 20), (1, 10_000)])
+def test_grouped_quantiles(spark, limit, accuracy):
+    rng = np.random.default_rng(limit)
+    data = {"hot": rng.normal(0, 1e6, 5000), "tied": np.repeat([3.5, 7.25], [2000, 900]), "one": np.array([4.0]), None: np.round(rng.exponential(50, 700)), "two": np.array([1.0, 2.0])}
+    data |= {f"g{i}": np.round(rng.normal(i, 30, 3 + i), 1) for i in range(40)}
+    rows = [(g, float(v)) for g, values in data.items() for v in values] + [("hot", None), ("void", None)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(6)
+    for prob in (0.0, 0.8, 0.95, 1.0):
+        got = {r["g"]: (r["n"], r["q"]) for r in grouped_quantiles(df, ["g"], F.col("x"), prob, limit, accuracy).collect()}
+        assert got.pop("void") == (0, None) and got.keys() == data.keys()
+        for g, values in data.items():
+            assert got[g][0] == len(values) and got[g][1] == pytest.approx(float(np.quantile(values, prob)), rel=1e-12, abs=1e-9)

@@ -9,7 +9,8 @@ from tidecast import schemas as S
 from tidecast.functions import calendar as C
 from tidecast.functions import scoring as SC
 from tidecast.operators import merge as MG
-from tidecast.operators.quantiles import exact_quantiles
+from tidecast.operators.quantiles import grouped_quantiles
+from tidecast.session import materialise
 
 DRIFT_PP = 2.0
 RETENTION_MONTHS = 24
@@ -114,25 +115,16 @@ def drop_alerts(
     )
 
 
-def segment_cutoffs(predictions: DataFrame, prob: float = 0.8) -> dict[str, float | None]:
-    """Exact quantile of the forecast per segment, one scalar each; segments are a short code table."""
-    names = [r["segmento"] for r in predictions.select("segmento").distinct().collect()]
-    wanted = {
-        f"s{i}": (F.when(F.col("segmento") == s, F.col("saldo_predito")), prob)
-        for i, s in enumerate(names)
-        if s is not None
-    }
-    cuts = exact_quantiles(predictions, wanted) if wanted else {}
-    return {names[int(k[1:])]: q for k, q in cuts.items()}
+def segment_cutoffs(predictions: DataFrame, prob: float = 0.8) -> DataFrame:
+    """Exact quantile of the forecast of every segment: segmento, corte."""
+    cuts = grouped_quantiles(predictions, ["segmento"], F.col("saldo_predito"), prob)
+    return materialise(cuts.select("segmento", F.col("q").alias("corte")), "cutoffs")
 
 
 def above_segment_quantile(predictions: DataFrame, prob: float = 0.8) -> DataFrame:
-    """Rows above the segment's quantile, with the quantile."""
-    cut = F.lit(None).cast("double")
-    for s, q in segment_cutoffs(predictions, prob).items():
-        if q is not None:
-            cut = F.when(F.col("segmento") == s, F.lit(q)).otherwise(cut)
-    return predictions.withColumn("corte", cut).where(F.col("saldo_predito") > F.col("corte"))
+    """Rows above the segment's quantile, with the quantile; rows without a segment are in no campaign."""
+    met = predictions.join(segment_cutoffs(predictions, prob), "segmento")
+    return met.where(F.col("saldo_predito") > F.col("corte")).select(*predictions.columns, "corte")
 
 
 def campaign_snapshot(predictions: DataFrame, model: str, prob: float = 0.8) -> DataFrame:

@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidecast.session import materialise
+
+STEPS = 64  # parts into which one pass cuts the bracket of every group
+
 
 def quantile_of_counts(value: str, prob: float, count: str) -> Column:
     """Quantile of a (value, count) table whose domain is bounded, such as dates."""
@@ -87,3 +92,74 @@ def _between(low: float | None, high: float | None, rank: float) -> float | None
     if low is None or low == high:
         return low
     return (math.ceil(rank) - rank) * low + (rank - math.floor(rank)) * high
+
+
+def grouped_quantiles(
+    df: DataFrame, by: list[str], value: Column, prob: float, limit: int = 500_000, accuracy: int = 10_000
+) -> DataFrame:
+    """Exact quantile of every group at once: the columns ``by``, ``n`` (values), ``q``.
+
+    As many jobs for any number of groups. While some group has more than ``limit`` rows that could hold the
+    wanted rank, one pass proposes cuts between which each such group's rank should lie, and a second counts
+    the rows below and inside; a bracket is taken only if the rank is proven to lie inside (else it is
+    tried wider). What is left of a group, at most ``limit`` rows or a value they share, is ranked
+    by its distinct values. Group states are stored, so Spark knows their size before it joins them.
+    A null in ``by`` is a value like others; a group whose values are all null has n = 0 and a null q.
+    """
+    names = [f"_g{i}" for i in range(len(by))]
+    rows = df.select(*[F.col(c).alias(g) for c, g in zip(by, names)], value.cast("double").alias("_v"))
+    null = F.lit(None).cast("double")
+    state = rows.groupBy(*names).agg(F.count("_v").alias("n"))
+    state = state.select(*names, "n", null.alias("lo"), null.alias("hi"), F.lit(0).cast("long").alias("below"), F.col("n").alias("inside"), F.lit(1).alias("width"), F.lit(True).alias("open"))
+    state = materialise(state, "groups")
+    rank = F.lit(prob) * (F.col("n") - 1)
+    todo = F.col("open") & (F.col("inside") > limit) & (F.col("lo").isNull() | (F.col("lo") < F.col("hi")))
+
+    def met(states: DataFrame) -> DataFrame:
+        other = states.select(*[F.col(g).alias(f"{g}_s") for g in names], *[c for c in states.columns if c not in names])
+        same = reduce(Column.__and__, [F.col(g).eqNullSafe(F.col(f"{g}_s")) for g in names])
+        inside = (F.col("lo").isNull() | (F.col("_v") >= F.col("lo"))) & (F.col("hi").isNull() | (F.col("_v") <= F.col("hi")))
+        return rows.where(F.col("_v").isNotNull()).join(other, same).where(inside)
+
+    while state.where(todo).limit(1).count():
+        probs = F.array(*[F.lit(i / STEPS) for i in range(STEPS + 1)])
+        cuts = met(state.where(todo)).groupBy(*names).agg(F.percentile_approx("_v", probs, accuracy).alias("cuts"))
+        at = F.floor((rank - F.col("below")) / F.col("inside") * STEPS).cast("int")
+        low, high = F.get("cuts", F.greatest(at - F.col("width"), F.lit(0))), F.get("cuts", F.least(at + 1 + F.col("width"), F.lit(STEPS)))
+        same = reduce(Column.__and__, [state[g].eqNullSafe(cuts[g]) for g in names])
+        proposed = materialise(state.where(todo).join(cuts, same).select(*[state[g] for g in names], "lo", "hi", low.alias("new_lo"), high.alias("new_hi")), "cuts")
+        seen = met(proposed).groupBy(*names).agg(
+            F.first("new_lo").alias("new_lo"),
+            F.first("new_hi").alias("new_hi"),
+            F.count_if(F.col("_v") < F.col("new_lo")).alias("less"),
+            F.count_if(F.col("_v").between(F.col("new_lo"), F.col("new_hi"))).alias("held"),
+        )
+        same = reduce(Column.__and__, [state[g].eqNullSafe(seen[g]) for g in names])
+        joined = state.join(seen, same, "left")
+        less = F.col("below") + F.col("less")
+        proven = (less <= F.floor(rank)) & (F.ceil(rank) < less + F.col("held"))
+        whole = F.col("width") >= STEPS
+        pick = lambda new, old: F.when(proven, new).otherwise(F.col(old)).alias(old)
+        state = joined.select(
+            *[state[g] for g in names],
+            "n",
+            pick(F.col("new_lo"), "lo"),
+            pick(F.col("new_hi"), "hi"),
+            pick(less, "below"),
+            F.when(proven, 1).when(proven.isNull(), F.col("width")).otherwise(F.least(F.col("width") * 4, F.lit(STEPS))).alias("width"),
+            F.when(proven, F.col("held") < F.col("inside")).when(proven.isNull(), F.col("open")).otherwise(~whole).alias("open"),
+            pick(F.col("held"), "inside"),
+        )
+        state = materialise(state, "groups")
+
+    distinct = met(state.select(*names, "n", "lo", "hi", "below")).groupBy(*names, "n", "below", "_v").agg(F.count(F.lit(1)).alias("c"))
+    spread = distinct.withColumn("upto", F.col("below") + F.sum("c").over(Window.partitionBy(*names).orderBy("_v")))
+    found = spread.groupBy(*names, "n").agg(
+        F.min(F.when(F.col("upto") > F.floor(rank), F.col("_v"))).alias("low"),
+        F.min(F.when(F.col("upto") > F.ceil(rank), F.col("_v"))).alias("high"),
+    )
+    between = (F.ceil(rank) - rank) * F.col("low") + (rank - F.floor(rank)) * F.col("high")
+    q = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(between)
+    found = found.select(*[F.col(g).alias(c) for c, g in zip(by, names)], "n", q.alias("q"))
+    empty = state.where("n = 0").select(*[F.col(g).alias(c) for c, g in zip(by, names)], "n", null.alias("q"))
+    return found.unionByName(empty)
