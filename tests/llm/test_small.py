@@ -223,3 +223,41 @@ def test_seeds_of_changed_passages_meet():
             paths = [path for _, path in chaining.chain([(x[s], y[s]) for s in x if s in y])]
             found += any(chaining.passages(*texts, path) for path in paths if path[-1][0] - path[0][0] + chaining.KMER >= chaining.MIN_CHAIN)
         assert found >= least, (n, edits, found)
+
+
+@settings(deadline=None)
+@given(st.integers(0, 9), st.lists(st.tuples(st.integers(-3, 3), st.integers(0, 1 << 64) | st.sampled_from([5, 9 << 40, (1 << 64) - 1]), st.integers(0, (1 << 31) - 1)), max_size=30))
+def test_packed_seeds_come_back(bits, rows):
+    of, seed, pos = (np.array([r[i] % (1 << 64) if i == 1 else r[i] for r in rows], t) for i, t in enumerate((np.int64, np.uint64, np.int32)))
+    got = []
+    for r in chaining.pack(of, seed, pos, bits).to_pylist():
+        got += [(r["range"], *x) for x in zip(*(c.tolist() for c in chaining.unpack(r["seeds"], r["texts"], r["packed"])))]
+    top = lambda s: s >> (64 - bits)
+    assert sorted(got) == sorted((top(s), (s << bits) % (1 << 64) >> 24, o, p) for o, s, p in zip(of.tolist(), seed.tolist(), pos.tolist()))
+
+
+@settings(deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(-4, 4), st.integers(0, 5)), max_size=40))
+def test_links_of_shared_seeds(rows):
+    want = set()
+    for seed in {r[0] for r in rows}:
+        place = {o: min(p for s, q, p in rows if (s, q) == (seed, o)) for s, o, _ in rows if s == seed}
+        for end in (min(place), max(place)):
+            want |= {(o, end, seed, p, place[end]) for o, p in place.items() if o != end}
+    rest, of, pos = (np.array([r[i] for r in rows], t) for i, t in enumerate((np.uint64, np.int64, np.int32)))
+    got = list(zip(*(c.tolist() for c in chaining.linked(rest, of, pos))))
+    assert sorted(got) == sorted((a, b, p, q) for a, b, _, p, q in want)
+    assert [g[:2] for g in got] == sorted(g[:2] for g in got)
+
+
+@settings(deadline=None)
+@given(st.integers(1, 9), st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30), st.integers(0, 9)), max_size=40))
+def test_reach_is_the_greatest_within_width(width, points):
+    tree = chaining.Reach(width)
+    points.sort()
+    for x, (a, b, _) in enumerate(points):
+        there = [v for c, d, v in points[:x] if a - c <= width and 0 < b - d <= width]
+        got = tree.best(a, b)
+        assert max((v for v, _ in got), default=None) == max(there, default=None)
+        assert all(points[y][2] == v and a - points[y][0] <= width and 0 < b - points[y][1] <= width for v, y in got)
+        tree.add(a, b, points[x][2], x)
