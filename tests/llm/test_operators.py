@@ -196,6 +196,41 @@ def test_chaining(spark):
     assert chaining.repeated_passages(edge.empty(docs)).collect() == [] and at
 
 
+def mosaic(r, pieces, n):
+    out, i = [], r.randrange(len(pieces))
+    for _ in range(n):
+        out += [*pieces[i], *(str(r.randrange(10**9)) for _ in range(r.choice([0, 0, 0, 1, 2, 20])))]
+        i = (i + r.choice([1, 1, 1, 2, 5])) % len(pieces)
+    return out
+
+
+@pytest.mark.parametrize("tries", [16, 2])
+def test_passages_of_pieces_that_many_texts_hold(spark, monkeypatch, tries):
+    """Every passage of any two texts, by all links of their seeds, lies in rows of the text; each piece has many holders."""
+    monkeypatch.setattr(chaining, "TRIES", tries)
+    r = random.Random(11)
+    pieces = [[f"p{i}w{j}" for j in range(r.choice([7, 9, 13]))] for i in range(14)]
+    whole = [w for i in (3, 9, 1, 12, 6, 0) for w in pieces[i]]
+    texts = [mosaic(r, pieces, r.choice([1, 3, 8, 12])) + edge.words(60, 100 + i, 10**9).split() for i in range(60)]
+    texts += [edge.words(40, 200 + i, 10**9).split() + whole + edge.words(40, 300 + i, 10**9).split() for i in range(2)]
+    got = chaining.repeated_passages(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")).collect()
+    assert {(x["doc_id"], x["other_doc_id"]) for x in got if x["doc_id"] >= 60} == {(60, 61), (61, 60)}
+    covered = [np.zeros(len(t), bool) for t in texts]
+    for x in got:
+        covered[x["doc_id"]][x["start"] : x["end"]] = True
+    first = [{tuple(t[i : i + chaining.KMER]): i for i in reversed(range(len(t) - chaining.KMER + 1))} for t in texts]
+    number = {w: i for i, w in enumerate({w for t in texts for w in t})}
+    words = [np.array([number[w] for w in t]) for t in texts]
+    found = 0
+    for a, b in itertools.permutations(range(len(texts)), 2):
+        for _, path in chaining.chain([(p, first[b][s]) for s, p in first[a].items() if s in first[b]]):
+            if path[-1][0] - path[0][0] + chaining.KMER >= chaining.MIN_CHAIN:
+                for start, end, *_ in chaining.passages(words[a], words[b], path):
+                    found += 1
+                    assert covered[a][start:end].mean() >= 0.8, (a, b, start, end)
+    assert found >= 10
+
+
 @pytest.mark.parametrize("chunk", [512, 4])
 def test_itq(spark, monkeypatch, chunk):
     monkeypatch.setattr(itq, "comparisons", lambda rows, key, item: graph.comparisons(rows, key, item, chunk))
