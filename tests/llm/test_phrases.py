@@ -50,6 +50,18 @@ def test_counts_are_whole(spark, monkeypatch, least, parts, size, bits):
     assert {x["lang"]: x["n"] for x in words.collect()} == dict(n)
 
 
+def test_each_length_adds_one_cycle(spark, monkeypatch):
+    """Longer phrases do not wait until their parts are counted; all that late crossings add is one cycle a length."""
+    scans = []
+    monkeypatch.setattr(collocations, "counted", lambda *a, own=collocations.counted: scans.append(a[1]) or own(*a))
+    r = random.Random(5)
+    rows = [("en", f"a{i % 40} b{i % 40} c{i % 40} d{i % 40} " + zipf(r, 20)) for i in range(1300)]
+    got, _ = collocations.phrases(spark.createDataFrame(rows, "lang string, text string"))
+    want = {k: n for k, n in brute_counts(rows).items() if n >= collocations.LEAST}
+    assert {(x["lang"], x["phrase"]): x["f"] for x in got.collect()} == want
+    assert len(scans) <= (collocations.LONGEST + 1) * collocations.SHARDS
+
+
 def test_filter(spark):
     h = np.random.default_rng(1).integers(-(1 << 63), 1 << 63, 5000)
     rows = spark.createDataFrame([(int(x), i % 2) for i, x in enumerate(h[:3000])], "h long, filter int")
