@@ -1,6 +1,7 @@
 """Parts that need no session: chains, segments, cascades, quantisation, forests, windows."""
 
 import itertools
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -261,3 +262,48 @@ def test_reach_is_the_greatest_within_width(width, points):
         assert max((v for v, _ in got), default=None) == max(there, default=None)
         assert all(points[y][2] == v and a - points[y][0] <= width and 0 < b - points[y][1] <= width for v, y in got)
         tree.add(a, b, points[x][2], x)
+
+
+def test_seeds_of_a_slice_take_bounded_memory():
+    rng = np.random.default_rng(5)
+    words = np.array([f"word{i}" for i in range(5000)])
+    texts = [" ".join(words[rng.integers(0, 5000, 500)]) for _ in range(900)]
+    batch = pa.record_batch({"of": pa.array(range(900)), "text": pa.array(texts)})
+    tracemalloc.start()
+    got = sum(b.num_rows for b in chaining._seeds(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == 900 * 497 and sum(map(len, texts)) > 3.5e6
+    assert peak < 100e6, peak  # words of the whole slice were hashed at once before
+
+
+def test_steps_see_bounded_rows(monkeypatch):
+    monkeypatch.setattr(chaining, "AT_ONCE", 50)
+    sizes = [3, 60, 0, 20, 20, 20, 200, 1, 1]
+    batch = pa.record_batch({"x": pa.array([list(range(n)) for n in sizes]), "i": pa.array(range(len(sizes)))})
+    seen = []
+    list(chaining._bounded(lambda b: seen.append(b), "x")(iter([batch, batch.slice(0, 0), batch.slice(3, 2)])))
+    assert [i for b in seen for i in b.column("i").to_pylist()] == [*range(len(sizes)), 3, 4]
+    assert all(sum(map(len, b.column("x").to_pylist()[1:])) < 50 for b in seen)  # the first may be long
+
+
+def test_chains_of_many_pairs_are_those_of_each_pair():
+    rng = np.random.default_rng(6)
+    links, want = [], []
+    for pair in range(40):
+        a, b, _ = two_texts((30, 25), (20, 60), pair)
+        x, y = seeds_of(a), seeds_of(b)
+        anchors = [(x[s], y[s]) for s in x if s in y] + [tuple(map(int, rng.integers(0, 150, 2))) for _ in range(pair)]
+        links += [(pair // 5, pair % 5, p, q) for p, q in anchors]
+        for _, path in chaining.chain(anchors):
+            if path[-1][0] - path[0][0] + chaining.KMER >= chaining.MIN_CHAIN:
+                want.append((pair // 5, pair % 5, path))
+    rng.shuffle(links)
+    a, b, pos, other = (np.array(c, t) for c, t in zip(zip(*links), (np.int64, np.int64, np.int32, np.int32)))
+    got = [(r["a"], r["b"], list(zip(r["a_pos"], r["b_pos"]))) for r in chaining._pair_chains(a, b, pos, other).to_pylist()]
+    assert sorted(got) == sorted(want) and len(want) >= 40
+
+
+def test_equal_scores_give_the_longer_chain():
+    anchors = [(x, x) for x in range(3)] + [(29 + x, 31 + x) for x in range(10)]  # 5.6 for three seeds, 4 for new words, -5.6 for the way
+    assert [len(p) for _, p in chaining.chain(anchors)] == [13]
