@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark import cloudpickle
 
 from tidecast.llm import chaining, decontaminate, graph, itq, toxicity, url_filter
 from tidecast.llm.common import shingle_hashes, word_hashes, words_of
@@ -307,3 +308,8 @@ def test_chains_of_many_pairs_are_those_of_each_pair():
 def test_equal_scores_give_the_longer_chain():
     anchors = [(x, x) for x in range(3)] + [(29 + x, 31 + x) for x in range(10)]  # 5.6 for three seeds, 4 for new words, -5.6 for the way
     assert [len(p) for _, p in chaining.chain(anchors)] == [13]
+
+
+def test_steps_travel_with_what_they_import():
+    """A worker need not have imported pyarrow.compute itself: the function names it, in a generator as well."""
+    assert b"pyarrow.compute" in cloudpickle.dumps(chaining._bounded(lambda b: b, "x"))
