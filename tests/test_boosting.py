@@ -115,3 +115,29 @@ def test_few_rows_and_constant_features(spark):
     assert set(got) == {"one", "same"} and got["one"].base == 5.0
     assert all((t.feature < 0).all() and (t.value == 0).all() for b in got.values() for t in b.trees)
     assert B.fit(spark.createDataFrame([], B.ROWS), NAMES, P) == {}
+
+
+def test_a_tree_takes_a_job_per_level(spark):
+    """No job for a loss or for the last level, and one count of rows for two children."""
+    sc, rows = spark.sparkContext, frame(spark, parts=3)
+    sc.setJobGroup("trees", "trees of a large model")
+    try:
+        model = B.fit(rows, NAMES, {**P, "early_stopping_rounds": 0}, task_rows=0)["m"]
+    finally:
+        sc._jsc.clearJobGroup()
+    assert len(model.trees) == 7
+    assert len(sc.statusTracker().getJobIdsForGroup("trees")) <= 7 * P["max_depth"] + 20  # a loss and a level more: 14 jobs more, and more shuffles
+
+
+def test_children_by_the_rest_of_their_parent():
+    x, y, _, h = data()
+    plan = B.Plan.of(P, len(y), float(y.mean()), float(np.abs(y).max() * 2), 4)
+    bins = np.stack([np.searchsorted(np.quantile(x[:, i], np.arange(1, 256) / 256), x[:, i]) for i in range(4)]).astype(np.uint8)
+    q, node, growth, seen = plan.gradients(np.full(len(y), plan.base), y), np.zeros(len(y), int), B.Growth(plan, 0), []
+    while growth.counted:
+        seen.append(int(np.isin(node, growth.counted).sum()))
+        growth.take(growth.sums(bins, node, q))
+        node = growth.tree.down(bins.T, node)
+    assert seen[0] == len(y) and all(n <= len(y) / 2 for n in seen[1:]) and len(seen) == P["max_depth"]
+    for leaf in set(node.tolist()):
+        assert growth.tree.value[leaf] == plan.leaf(int(q[node == leaf].sum()), int((node == leaf).sum()))

@@ -12,21 +12,26 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Iterator, Mapping, Sequence
+import pickle
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.session import materialise
+from tidecast.session import fresh_path, materialise
 
 BINS = 256
 SAMPLE = 1 << 16  # rows, chosen by the hash of their keys, that place the bins' edges
 TASK_ROWS = 1 << 18  # rows of a model that one task may hold (some 20 MB)
+BLOCK = 1 << 16  # rows that are counted at once; sums of so many low halves and their number fit one double
+LOW = 20  # bits of a gradient's low half
 STORE_EVERY = 16  # trees after which the rows' forecasts are stored anew
+SENDERS = 16  # tasks whose sums the driver adds up; those of more are added in tasks before
 PRECISION = 40  # bits of a gradient
 ROWS = "model string, h long, y double, held boolean, x array<double>"
 BINNED = "model string, h long, y double, held boolean, bins binary, margin double"
@@ -49,13 +54,17 @@ class Tree:
 
     def node_of(self, bins: np.ndarray, levels: int) -> np.ndarray:
         """Node of each row after some levels; rows in a leaf above stay there."""
-        node, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
+        node = np.zeros(len(bins), np.int64)
         for _ in range(levels):
-            f = self.feature[node]
-            right = bins[rows, np.maximum(f, 0)] > self.cut[node]
-            node = np.where(f >= 0, 2 * node + 1 + right, node)
+            node = self.down(bins, node)
         return node
 
+    def down(self, bins: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """Nodes of rows a level below."""
+        f = self.feature[node]
+        right = bins[np.arange(len(bins)), np.maximum(f, 0)] > self.cut[node]
+        return np.where(f >= 0, 2 * node + 1 + right, node)
+
     def predict(self, bins: np.ndarray) -> np.ndarray:
         return self.value[self.node_of(bins, len(self.feature).bit_length() - 1)]
 
@@ -130,23 +139,64 @@ class Plan:
 
 
 def histogram(bins: np.ndarray, node: np.ndarray, q: np.ndarray, columns: np.ndarray, n_nodes: int) -> np.ndarray:
-    """Sums (node, feature, bin, [gradient, rows]) as whole numbers; halves of a gradient add up exactly in doubles."""
+    """Sums (node, feature, bin, [gradient, rows]) as whole numbers; halves of a gradient add up exactly in doubles.
+
+    The number of rows lies above the low halves' sum in the same double.
+    """
     out = np.zeros((n_nodes, len(columns), BINS, 2), np.int64)
-    size = n_nodes * len(columns) * BINS
-    for a in range(0, len(bins), 1 << 20):
-        b, k = bins[a : a + (1 << 20)][:, columns], q[a : a + (1 << 20)]
-        place = ((node[a : a + (1 << 20), None] * len(columns) + np.arange(len(columns))) * BINS + b).ravel()
-        high, low = np.repeat(k >> 20, len(columns)), np.repeat(k & 0xFFFFF, len(columns))
-        total = (np.bincount(place, high, size).astype(np.int64) << 20) + np.bincount(place, low, size).astype(np.int64)
-        out[..., 0] += total.reshape(out.shape[:3])
-        out[..., 1] += np.bincount(place, minlength=size).reshape(out.shape[:3])
+    size, above = n_nodes * BINS, LOW + BLOCK.bit_length() - 1
+    for a in range(0, len(bins), BLOCK):
+        b, base, k = bins[a : a + BLOCK], node[a : a + BLOCK].astype(np.int64) * BINS, q[a : a + BLOCK]
+        high, low = (k >> LOW).astype(np.float64), ((k & ((1 << LOW) - 1)) + (1 << above)).astype(np.float64)
+        for i, c in enumerate(columns):
+            place = base + b[:, c]
+            two = np.bincount(place, low, size).astype(np.int64).reshape(n_nodes, BINS)
+            out[:, i, :, 0] += (np.bincount(place, high, size).astype(np.int64) << LOW).reshape(n_nodes, BINS) + (two & ((1 << above) - 1))
+            out[:, i, :, 1] += two >> above
     return out
 
 
-def open_nodes(tree: Tree, level: int) -> np.ndarray:
-    """Nodes of a level that exist: the root, and children of nodes that were split."""
-    nodes = np.arange((1 << level) - 1, (1 << (level + 1)) - 1)
-    return nodes if level == 0 else nodes[tree.feature[(nodes - 1) // 2] >= 0]
+class Growth:
+    """A tree that grows level by level: which nodes' rows have to be counted, and what follows from their sums.
+
+    Of two children only the one with fewer rows is counted; the other's sums are the rest of their parent's.
+    The last level's values follow from the sums of the level above.
+    """
+
+    def __init__(self, plan: Plan, number: int) -> None:
+        self.plan, self.number, self.level = plan, number, 0
+        self.tree, self.columns = Tree.empty(plan.p["max_depth"]), plan.columns(number)
+        self.counted, self.parents = [0], {}
+
+    def sums(self, bins: np.ndarray, node: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Sums of the nodes to be counted, of rows of a subsample; bins by feature."""
+        place = np.full(len(self.tree.feature), -1)
+        place[self.counted] = np.arange(len(self.counted))
+        place = place[node]
+        here = np.flatnonzero(place >= 0)
+        return histogram(np.take(bins, here, axis=1).T, place[here], q[here], self.columns, len(self.counted))
+
+    def take(self, sums: np.ndarray) -> None:
+        """Split the nodes of this level by the sums of those that were counted."""
+        known = dict(zip(self.counted, sums))
+        if self.level:
+            known |= {n + 1 if n % 2 else n - 1: self.parents[(n - 1) // 2] - s for n, s in known.items()}
+        self.counted, self.parents = [], {}
+        last = self.level == self.plan.p["max_depth"]
+        self.level += 1
+        for node in sorted(known):
+            own = known[node]
+            self.plan.split(self.tree, node, own, self.columns, last)
+            if self.tree.feature[node] < 0:
+                continue
+            split = own[np.searchsorted(self.columns, self.tree.feature[node])]
+            left = split[: int(self.tree.cut[node]) + 1].sum(axis=0)
+            right = split.sum(axis=0) - left
+            for child, (total, n) in ((2 * node + 1, left.tolist()), (2 * node + 2, right.tolist())):
+                self.tree.value[child] = self.plan.leaf(total, n)
+            if self.level < self.plan.p["max_depth"]:
+                self.parents[node] = own
+                self.counted.append(2 * node + 1 if left[1] <= right[1] else 2 * node + 2)
 
 
 class Rounds:
@@ -175,30 +225,19 @@ class Rounds:
 
 def grown_here(plan: Plan, h: np.ndarray, y: np.ndarray, held: np.ndarray, bins: np.ndarray) -> Rounds:
     """All rounds of a model whose rows are at hand."""
-    rounds, depth = Rounds(plan, bool(held.any())), plan.p["max_depth"]
+    rounds = Rounds(plan, bool(held.any()))
     margin = np.full(len(y), plan.base)
-    own = ~held
+    own, by_feature = ~held, np.ascontiguousarray(bins.T)
     while not rounds.done:
-        number = len(rounds.trees)
-        tree, columns = Tree.empty(depth), plan.columns(number)
-        use = own & plan.drawn(h, number)
-        b, q = bins[use], plan.gradients(margin[use], y[use])
-        node = np.zeros(len(b), np.int64)
-        for level in range(depth + 1):
-            nodes = open_nodes(tree, level)
-            if not len(nodes):
-                break
-            place = np.searchsorted(nodes, node)
-            here = (place < len(nodes)) & (nodes[np.minimum(place, len(nodes) - 1)] == node)
-            b, q, node, place = b[here], q[here], node[here], place[here]
-            last = level == depth
-            sums = histogram(b, place, q, columns[:1] if last else columns, len(nodes))
-            for i, n in enumerate(nodes):
-                plan.split(tree, n, sums[i], columns, last)
-            f = tree.feature[node]
-            node = np.where(f >= 0, 2 * node + 1 + (b[np.arange(len(b)), np.maximum(f, 0)] > tree.cut[node]), -1)
-        margin = margin + tree.predict(bins)
-        rounds.add(tree, plan.loss(margin[held], y[held]))
+        growth = Growth(plan, len(rounds.trees))
+        use = np.flatnonzero(own & plan.drawn(h, growth.number))
+        b, q = np.take(by_feature, use, axis=1), plan.gradients(margin[use], y[use])
+        node = np.zeros(len(use), np.int64)
+        while growth.counted:
+            growth.take(growth.sums(b, node, q))
+            node = growth.tree.down(b.T, node)
+        margin = margin + growth.tree.predict(by_feature.T)
+        rounds.add(growth.tree, plan.loss(margin[held], y[held]))
     return rounds
 
 
@@ -225,93 +264,102 @@ def grown_in_tasks(binned: DataFrame, plans: dict[str, Plan]) -> dict[str, list[
     return out
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a partition as pickled blocks (model, h, y, held, bins by feature, margin) of about BLOCK rows."""
+
+    def out(m: str) -> pa.RecordBatch:
+        h, y, held, bins, margin = zip(*kept.pop(m))
+        block = m, np.concatenate(h), np.concatenate(y), np.concatenate(held), np.concatenate(bins, axis=1), np.concatenate(margin)
+        return pa.record_batch({"block": pa.array([pickle.dumps(block, 5)], pa.binary())})
+
+    kept: dict[str, list[tuple[np.ndarray, ...]]] = {}
+    for batch in batches:
+        names = np.array(batch.column("model").to_pylist(), object)
+        for m in sorted(set(names)):
+            part = batch.take(pa.array(np.flatnonzero(names == m)))
+            h, y, margin = (part.column(c).to_numpy() for c in ("h", "y", "margin"))
+            bins = _matrix(part.column("bins"), len(part.column("bins")[0].as_py())).T
+            kept.setdefault(m, []).append((h, y, part.column("held").to_numpy(zero_copy_only=False).astype(bool), bins, margin))
+            if sum(len(k[0]) for k in kept[m]) >= BLOCK:
+                yield out(m)
+    for m in sorted(kept):
+        yield out(m)
+
+
+def _added(one: dict, other: dict) -> dict:
+    return one | {k: one[k] + v if k in one else v for k, v in other.items()}
+
+
 def grown_by_level(binned: DataFrame, plans: dict[str, Plan]) -> dict[str, list[Tree]]:
-    """Large models: a job per level for all of them; only sums, splits and losses leave the tasks."""
-    rounds = {m: Rounds(plan, held) for (m, plan), held in zip(plans.items(), _has_held(binned, list(plans)))}
-    stored = binned.where(F.col("model").isin(list(plans)))
-    recent: dict[str, list[Tree]] = {m: [] for m in plans}
-
-    def batches_of(batches: Iterator[pa.RecordBatch], recent: dict[str, list[Tree]]) -> Iterator[tuple]:
-        for batch in batches:
-            names = np.array(batch.column("model").to_pylist(), object)
-            for m in sorted(set(names)):
-                if m not in recent:
+    """Large models: a job per level for all of them; only sums and losses leave the tasks.
+
+    Rows lie in blocks in the executors' memory, or on their disks. A tree's forecasts are added in the first job of the
+    next tree, which also tells the loss. After STORE_EVERY trees the blocks are written, so that a lost one comes from there.
+    """
+    spark = binned.sparkSession
+    own = binned.where(F.col("model").isin(list(plans)))
+    seen = {r["model"]: r for r in own.groupBy("model").agg(F.max("held").alias("held"), F.count(F.lit(1)).alias("n")).collect()}
+    parts = max(spark.sparkContext.defaultParallelism, -(-sum(r["n"] for r in seen.values()) // TASK_ROWS))
+    packed = own.repartition(parts, "h").mapInArrow(_blocks, "block binary").rdd
+    blocks = packed.map(lambda r: pickle.loads(r[0])).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def counted(blocks: RDD, growing: dict[str, Growth]) -> dict:
+        """Sums of each model's nodes by its name, and before the root is split its loss by (name,)."""
+
+        def partial(rows: Iterable[tuple]) -> Iterator[dict]:
+            total: dict = {}
+            for m, h, y, held, bins, margin in rows:
+                if (g := growing.get(m)) is None:
                     continue
-                own = np.flatnonzero(names == m)
-                part = batch.take(pa.array(own))
-                bins = _matrix(part.column("bins"), plans[m].n_features)
-                margin = part.column("margin").to_numpy().copy()
-                for t in recent[m]:
-                    margin = margin + t.predict(bins)
-                yield m, part.column("h").to_numpy(), part.column("y").to_numpy(), part.column("held").to_numpy(zero_copy_only=False).astype(bool), bins, margin, part
-
-    def sums_of(growing: dict[str, Tree], level: int, recent: dict[str, list[Tree]], number: int) -> DataFrame:
-        def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total: dict[str, np.ndarray] = {}
-            for m, h, y, held, bins, margin, _ in batches_of(batches, recent):
-                plan, tree = plans[m], growing[m]
-                columns, nodes = plan.columns(number), open_nodes(tree, level)
-                use = ~held & plan.drawn(h, number)
-                node = tree.node_of(bins[use], level)
-                place = np.searchsorted(nodes, node)
-                here = (place < len(nodes)) & (nodes[np.minimum(place, max(len(nodes) - 1, 0))] == node) if len(nodes) else np.zeros(len(node), bool)
-                q = plan.gradients(margin[use], y[use])
-                last = level == plan.p["max_depth"]
-                sums = histogram(bins[use][here], place[here], q[here], columns[:1] if last else columns, len(nodes))
-                total[m] = total[m] + sums if m in total else sums
-            for m, sums in total.items():
-                nodes = open_nodes(growing[m], level)
-                yield pa.record_batch({"model": pa.array([m] * len(nodes)), "node": pa.array(nodes.astype(np.int32)), "sums": pa.array([s.tobytes() for s in sums], pa.binary())})
-
-        def unite(group: pa.Table) -> pa.Table:
-            m, node = group.column("model")[0].as_py(), group.column("node")[0].as_py()
-            plan, tree = plans[m], Tree.empty(plans[m].p["max_depth"])
-            sums = sum(np.frombuffer(s, np.int64) for s in group.column("sums").to_pylist()).reshape(-1, BINS, 2)
-            plan.split(tree, node, sums, plan.columns(number), level == plan.p["max_depth"])
-            return pa.table({"model": [m], "node": pa.array([node], pa.int32()), "feature": pa.array([int(tree.feature[node])], pa.int32()), "cut": pa.array([int(tree.cut[node])], pa.int32()), "value": [float(tree.value[node])], "gain": [float(tree.gain[node])]})
-
-        parts = stored.mapInArrow(partial, "model string, node int, sums binary")
-        return parts.groupBy("model", "node").applyInArrow(unite, "model string, node int, feature int, cut int, value double, gain double")
-
-    def losses_of(recent: dict[str, list[Tree]]) -> dict[str, int]:
-        def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for m, _, y, held, _, margin, _ in batches_of(batches, recent):
-                yield pa.record_batch({"model": [m], "loss": [plans[m].loss(margin[held], y[held])]})
-
-        return {r["model"]: r["loss"] for r in stored.where("held").mapInArrow(partial, "model string, loss long").groupBy("model").agg(F.sum("loss").alias("loss")).collect()}
-
-    def moved(recent: dict[str, list[Tree]]) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for *_, margin, part in batches_of(batches, recent):
-                yield part.set_column(part.schema.get_field_index("margin"), "margin", pa.array(margin))
-
-        return materialise(stored.mapInArrow(run, BINNED), "margins")
-
-    while active := [m for m, r in rounds.items() if not r.done]:
-        number = len(rounds[active[0]].trees)  # all models started together
-        growing = {m: Tree.empty(plans[m].p["max_depth"]) for m in active}
-        now = {m: recent[m] for m in active}
-        for level in range(max(plans[m].p["max_depth"] for m in active) + 1):
-            if not any(len(open_nodes(t, level)) for t in growing.values()):
-                break
-            for r in sums_of(growing, level, now, number).collect():
-                t = growing[r["model"]]
-                t.feature[r["node"]], t.cut[r["node"]], t.value[r["node"]], t.gain[r["node"]] = r["feature"], r["cut"], r["value"], r["gain"]
-        for m in active:
-            recent[m] = [*recent[m], growing[m]]
-        loss = losses_of({m: recent[m] for m in active})
-        for m in active:
-            rounds[m].add(growing[m], loss.get(m, 0))
-        if (number + 1) % STORE_EVERY == 0:
-            stored, recent = moved({m: recent[m] for m in active}), {m: [] for m in plans}
+                plan = plans[m]
+                use = np.flatnonzero(~held & plan.drawn(h, g.number))
+                b = np.take(bins, use, axis=1)
+                found = {m: g.sums(b, g.tree.node_of(b.T, g.level), plan.gradients(margin[use], y[use]))}
+                total = _added(total, found if g.level else found | {(m,): plan.loss(margin[held], y[held])})
+            yield total
+
+        found = blocks.mapPartitions(partial)
+        if found.getNumPartitions() > SENDERS:
+            found = found.mapPartitionsWithIndex(lambda i, x: ((i % SENDERS, t) for t in x)).reduceByKey(_added, SENDERS).values()
+        total: dict = {}
+        for t in found.collect():
+            total = _added(total, t)
+        return total
+
+    def moved(blocks: RDD, trees: dict[str, Tree]) -> RDD:
+        def step(block: tuple) -> tuple:
+            m, h, y, held, bins, margin = block
+            return (m, h, y, held, bins, margin + trees[m].predict(bins.T)) if m in trees else block
+
+        return blocks.map(step).persist(StorageLevel.MEMORY_AND_DISK)
+
+    rounds = {m: Rounds(plan, seen[m]["held"]) for m, plan in plans.items()}
+    active, number, before = [m for m, r in rounds.items() if not r.done], 0, None
+    trees: dict[str, Tree] = {}
+    while active:
+        growing = {m: Growth(plans[m], number) for m in active}  # all models started together
+        sums = counted(blocks, growing)
+        if before is not None:
+            before.unpersist()
+        for m in trees:
+            rounds[m].add(trees[m], sums[m,])
+        active = [m for m in active if not rounds[m].done]
+        while todo := {m: growing[m] for m in active if growing[m].counted}:
+            sums = sums if next(iter(todo.values())).level == 0 else counted(blocks, todo)
+            for m, g in todo.items():
+                g.take(sums[m])
+        trees = {m: growing[m].tree for m in active}
+        number += 1
+        if active and number % STORE_EVERY == 0:
+            path = fresh_path(spark, "margins")
+            blocks.saveAsPickleFile(path, 1)
+            blocks.unpersist()
+            blocks = spark.sparkContext.pickleFile(path)
+        before, blocks = blocks, moved(blocks, trees) if active else blocks
+    blocks.unpersist()
     return {m: r.kept() for m, r in rounds.items()}
 
 
-def _has_held(binned: DataFrame, models: list[str]) -> list[bool]:
-    seen = {r["model"] for r in binned.where("held").select("model").distinct().collect()}
-    return [m in seen for m in models]
-
-
 @dataclass
 class Booster:
     """A fitted model: names and edges of its features, first forecast and trees."""
