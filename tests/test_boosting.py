@@ -141,3 +141,10 @@ def test_children_by_the_rest_of_their_parent():
     assert seen[0] == len(y) and all(n <= len(y) / 2 for n in seen[1:]) and len(seen) == P["max_depth"]
     for leaf in set(node.tolist()):
         assert growth.tree.value[leaf] == plan.leaf(int(q[node == leaf].sum()), int((node == leaf).sum()))
+
+
+def test_sums_of_many_tasks_are_added_in_tasks(spark, monkeypatch):
+    want = B.fit(frame(spark), NAMES, P)["m"]
+    monkeypatch.setattr(B, "SENT", 2)
+    monkeypatch.setattr(B, "TASK_ROWS", 100)
+    assert bits(B.fit(frame(spark), NAMES, P)["m"]) == bits(want)

@@ -31,7 +31,7 @@ TASK_ROWS = 1 << 18  # rows of a model that one task may hold (some 20 MB)
 BLOCK = 1 << 16  # rows that are counted at once; sums of so many low halves and their number fit one double
 LOW = 20  # bits of a gradient's low half
 STORE_EVERY = 16  # trees after which the rows' forecasts are stored anew
-SENDERS = 16  # tasks whose sums the driver adds up; those of more are added in tasks before
+SENT = 64  # models' sums of a level (2 MB at most) that reach the driver; those of more tasks are added in tasks before
 PRECISION = 40  # bits of a gradient
 ROWS = "model string, h long, y double, held boolean, x array<double>"
 BINNED = "model string, h long, y double, held boolean, bins binary, margin double"
@@ -319,8 +319,9 @@ def grown_by_level(binned: DataFrame, plans: dict[str, Plan]) -> dict[str, list[
             yield total
 
         found = blocks.mapPartitions(partial)
-        if found.getNumPartitions() > SENDERS:
-            found = found.mapPartitionsWithIndex(lambda i, x: ((i % SENDERS, t) for t in x)).reduceByKey(_added, SENDERS).values()
+        senders = max(1, SENT // len(growing))
+        if found.getNumPartitions() > senders:
+            found = found.mapPartitionsWithIndex(lambda i, x: ((i % senders, t) for t in x)).reduceByKey(_added, senders).values()
         total: dict = {}
         for t in found.collect():
             total = _added(total, t)
