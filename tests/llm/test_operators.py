@@ -231,6 +231,33 @@ def test_passages_of_pieces_that_many_texts_hold(spark, monkeypatch, tries):
     assert found >= 10
 
 
+def test_passages_that_a_text_repeats(spark):
+    """Rows for each place of a passage: the second one, lines repeated, and pieces that the other text has before on their own."""
+    fresh = lambda i, n: edge.words(n, 4000 + i, 10**9).split()
+    twice, line, pieces = fresh(0, 70), fresh(1, 12), [fresh(2 + i, 20) for i in range(5)]
+    apart = [w for i, p in enumerate(pieces) for w in [*p, *fresh(20 + i, 60)]]
+    whole = [w for p in (pieces[i] for i in (2, 0, 4, 1, 3)) for w in p]
+    texts = [
+        fresh(40, 30) + twice + fresh(41, 100) + twice + fresh(42, 30), fresh(43, 20) + twice + fresh(44, 50),
+        fresh(45, 25) + line * 30 + fresh(46, 25), fresh(47, 40) + line * 9 + fresh(48, 15),
+        apart + whole + fresh(49, 30), apart[::-1] + fresh(50, 35) + whole + fresh(51, 80) + whole,
+    ]
+    at = [[(30, 100), (200, 270)], [(20, 90)], [(25, 385)], [(40, 148)], [(400, 500)], [(435, 535), (615, 715)]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = chaining.repeated_passages(docs).collect()
+    assert {(r["doc_id"], r["other_doc_id"]) for r in got} == {(i, i ^ 1) for i in range(6)}
+    for i, spans in enumerate(at):
+        covered = np.zeros(len(texts[i]), bool)
+        for r in got:
+            if r["doc_id"] == i:
+                covered[r["start"] : r["end"]] = True
+                assert texts[i][r["start"] : r["end"]][5:10] == texts[i ^ 1][r["other_start"] : r["other_end"]][5:10]
+        want = np.zeros(len(texts[i]), bool)
+        for a, b in spans:
+            want[a:b] = True
+        assert covered[want].mean() > 0.95 and not covered[~want].any(), (i, np.flatnonzero(covered != want))
+
+
 @pytest.mark.parametrize("chunk", [512, 4])
 def test_itq(spark, monkeypatch, chunk):
     monkeypatch.setattr(itq, "comparisons", lambda rows, key, item: graph.comparisons(rows, key, item, chunk))
